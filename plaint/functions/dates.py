@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import rnd
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,7 +40,7 @@ def handling_days(sent, received, digits: int = 2) -> Column:
     """(sent - received) in days, floored at 0, rounded; null when either is null."""
     d = (F.unix_micros(as_timestamp(sent)) - F.unix_micros(as_timestamp(received))) / F.lit(86_400_000_000.0)
     # greatest() skips nulls, so guard explicitly to keep a missing date null
-    return F.when(d.isNotNull(), F.round(F.greatest(d, F.lit(0.0)), digits))
+    return F.when(d.isNotNull(), rnd(F.greatest(d, F.lit(0.0)), digits))
 
 
 def month_start(c) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, labels, text
+from ..functions.numeric import rnd
 
 SEGMENT_ALL = "Industry"
 SEGMENT_TARGET = "Target"
@@ -31,9 +32,9 @@ def mis_flags(df: DataFrame, target: str) -> DataFrame:
 
 def _rates(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.withColumns({
-        "timely_rate": F.round(F.col("timely") / F.col("complaints"), digits),
-        "relief_rate": F.round(F.col("relief") / F.col("complaints"), digits),
-        "narrative_rate": F.round(F.col("narrative") / F.col("complaints"), digits),
+        "timely_rate": rnd(F.col("timely") / F.col("complaints"), digits),
+        "relief_rate": rnd(F.col("relief") / F.col("complaints"), digits),
+        "narrative_rate": rnd(F.col("narrative") / F.col("complaints"), digits),
     })
 
 

@@ -95,7 +95,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.select(
         F.col("l_orderkey").alias("complaint_id"),
         ship.alias("date_received"),
-        F.timestampadd("DAY", F.col("l_linenumber"), ship).alias("date_sent_to_company"),
+        F.expr("timestampadd(DAY, l_linenumber, CAST(l_shipdate AS TIMESTAMP))").alias("date_sent_to_company"),
         F.col("l_returnflag").alias("product"),
         F.col("l_linestatus").alias("issue"),
         F.when(F.col("l_returnflag") == "R", "Closed with monetary relief")
@@ -134,8 +134,33 @@ def fixture_lexicons(spark: SparkSession) -> dict[str, DataFrame]:
 def scored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cases -> clean -> sentiment -> score stand-ins -> flags and labels."""
     from ..operators.clean import clean
+    from ..operators.scoring import attach_scores, select_scored
     from ..operators.sentiment import enrich
-    from ..operators.scoring import attach_scores
     df = clean(cases(spark, sf_dir))
     df = enrich(df, "narrative", **fixture_lexicons(spark), key="complaint_id")
-    return attach_scores(df, F.col("score_hint_a"), F.col("score_hint_b"))
+    return select_scored(attach_scores(df, F.col("score_hint_a"), F.col("score_hint_b")))
+
+
+def _fingerprint(sf_dir: str, names) -> str:
+    import hashlib
+    import os
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for n in names:
+        p = os.path.join(sf_dir, f"{n}.parquet")
+        if os.path.exists(p):
+            st = os.stat(p)
+            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
+def scored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored fact, written once as Parquet in the shared checkpoint folder
+    (lineage cut; survives executor loss) and read back by every dashboard
+    query. Keyed by a fingerprint of the input files."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "scored_" + _fingerprint(sf_dir, ["orders", "customer", "lineitem", "documents"]))
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # not written yet
+        scored_cases(spark, sf_dir).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
