@@ -19,6 +19,9 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    # Range bounds come from sampling; materialize once (reliable checkpoint in
+    # the shared checkpoint folder) so the counts below see the same partitions.
+    local = local.checkpoint(eager=True)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"),
                             F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
@@ -38,3 +41,18 @@ def ntile_from_rank(rank: Column, total: Column, tiles: int) -> Column:
     big = r * (q + 1)
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
             .otherwise(F.floor((rank - 1 - big) / F.greatest(q, F.lit(1))) + r + 1).cast("int")
+
+
+def global_cumsum(df: DataFrame, order: list[Column], value: str, name: str,
+                  partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` along the total order ``order`` (inclusive),
+    distributed like ``global_row_number``."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_lcs", F.sum(value).over(w)).checkpoint(eager=True)
+    sums = local.groupBy("_pid").agg(F.sum(value).alias("_ps"))
+    offsets = sums.select("_pid", (F.sum("_ps").over(Window.orderBy("_pid")) - F.col("_ps")).alias("_off"))
+    out = local.join(F.broadcast(offsets), "_pid")  # one row per partition
+    return out.withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lcs")).drop("_pid", "_lcs", "_off")

@@ -1,2 +1,189 @@
-"""Queries (filled in below)."""
+"""Model queries: exact metrics, split and feature helpers (with oracles), and
+MLlib training / scoring (rows-only: fitted models are not SQL-expressible).
+
+Metric queries evaluate the scored fact's escalation score against the
+escalation label; the model queries train on the stratified split of it."""
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.numeric import rnd
+from ..operators import metrics as M
+from ..operators import models as ML
+from ..operators import text as T
+from ..schemas import CHURN_CATEGORICAL, CHURN_NUMERIC
+from ..sources import fixtures as fx
+from .registry import query
+from .sql_views import R, scored, with_
+
+LEX = (fx.FIXTURE_LEXICON, fx.FIXTURE_BOOSTERS, fx.FIXTURE_NEGATIONS, fx.FIXTURE_IDIOMS)
+_S = with_(*scored(LEX), """g AS (SELECT escalation_score AS s, sum(CASE WHEN is_escalated = 1 THEN 1 ELSE 0 END) AS pos,
+  sum(CASE WHEN is_escalated = 1 THEN 0 ELSE 1 END) AS neg FROM scored WHERE escalation_score IS NOT NULL GROUP BY 1)""")
+
+
+def _fact(spark, sf):
+    return fx.scored_fact(spark, sf)
+
+
+@query("roc_auc", _S + f"""SELECT {R('sum(pos * ((cneg - neg) + 0.5 * neg)) / (sum(pos) * sum(neg))', 6)} AS roc_auc
+FROM (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS cneg FROM g) c""")
+def q_roc_auc(spark, sf):
+    """Exact rank-based AUC, ties averaged."""
+    return M.roc_auc(_fact(spark, sf), "escalation_score", "is_escalated")
+
+
+@query("pr_auc", _S + f"""SELECT {R('sum(pos * tp * 1.0 / (tp + fp)) / sum(pos)', 6)} AS pr_auc
+FROM (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS fp FROM g) c""")
+def q_pr_auc(spark, sf):
+    """Average precision over distinct thresholds."""
+    return M.pr_auc(_fact(spark, sf), "escalation_score", "is_escalated")
+
+
+def _prf(tp, fp, fn):
+    p = f"coalesce(CAST({tp} AS DOUBLE) / nullif({tp} + {fp}, 0), 0.0)"
+    r = f"coalesce(CAST({tp} AS DOUBLE) / nullif({tp} + {fn}, 0), 0.0)"
+    f = f"coalesce(2 * ({p}) * ({r}) / nullif(({p}) + ({r}), 0), 0.0)"
+    return p, r, f
+
+
+_P1, _R1, _F1 = _prf("tp", "fp", "fn")
+_P0, _R0, _F0 = _prf("tn", "fn", "fp")
+
+
+@query("classification_report", _S + f""", cm AS (
+  SELECT count(*) FILTER (WHERE is_escalated = 1 AND escalation_score >= 0.5) AS tp,
+         count(*) FILTER (WHERE is_escalated = 0 AND escalation_score >= 0.5) AS fp,
+         count(*) FILTER (WHERE is_escalated = 1 AND NOT coalesce(escalation_score >= 0.5, false)) AS fn,
+         count(*) FILTER (WHERE is_escalated = 0 AND NOT coalesce(escalation_score >= 0.5, false)) AS tn FROM scored)
+SELECT '0' AS class, {R(_P0, 6)} AS precision, {R(_R0, 6)} AS recall, {R(_F0, 6)} AS f1, tn + fp AS support FROM cm
+UNION ALL SELECT '1', {R(_P1, 6)}, {R(_R1, 6)}, {R(_F1, 6)}, tp + fn FROM cm
+UNION ALL SELECT 'macro avg', {R(f'(({_P0}) + ({_P1})) / 2', 6)}, {R(f'(({_R0}) + ({_R1})) / 2', 6)},
+                 {R(f'(({_F0}) + ({_F1})) / 2', 6)}, tp + fn + tn + fp FROM cm
+UNION ALL SELECT 'weighted avg', {R(f'(({_P0}) * (tn + fp) + ({_P1}) * (tp + fn)) / (tp + fn + tn + fp)', 6)},
+                 {R(f'(({_R0}) * (tn + fp) + ({_R1}) * (tp + fn)) / (tp + fn + tn + fp)', 6)},
+                 {R(f'(({_F0}) * (tn + fp) + ({_F1}) * (tp + fn)) / (tp + fn + tn + fp)', 6)}, tp + fn + tn + fp FROM cm
+UNION ALL SELECT 'accuracy', {R('(tp + tn) * 1.0 / (tp + fn + tn + fp)', 6)}, {R('(tp + tn) * 1.0 / (tp + fn + tn + fp)', 6)},
+                 {R('(tp + tn) * 1.0 / (tp + fn + tn + fp)', 6)}, tp + fn + tn + fp FROM cm""".replace("\n, cm AS", ",\ncm AS"))
+def q_classification_report(spark, sf):
+    """Precision / recall / F1 / support per class, accuracy, macro and weighted."""
+    return M.classification_report(_fact(spark, sf), "escalation_score", "is_escalated")
+
+
+@query("stratified_split", with_(*scored(LEX)) + """
+SELECT is_escalated, split, count(*) AS n FROM (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY is_escalated ORDER BY md5(CAST(complaint_id AS VARCHAR)), complaint_id)
+                      <= round(0.2 * count(*) OVER (PARTITION BY is_escalated)) THEN 'test' ELSE 'train' END AS split
+  FROM scored) x GROUP BY 1, 2""")
+def q_stratified_split(spark, sf):
+    """Deterministic 80/20 split stratified on the label (md5 order)."""
+    s = M.stratified_split(_fact(spark, sf), "complaint_id", "is_escalated")
+    return s.groupBy("is_escalated", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("class_weights", with_(*scored(LEX)) + f"""
+SELECT is_escalated, count(*) AS n, {R('sum(count(*)) OVER () / (2.0 * count(*))', 6)} AS weight FROM scored GROUP BY 1""")
+def q_class_weights(spark, sf):
+    """Balanced class weights n / (2 n_class)."""
+    w = M.class_weights(_fact(spark, sf), "is_escalated")
+    return w.groupBy("is_escalated").agg(F.count(F.lit(1)).alias("n"), rnd(F.max("weight"), 6).alias("weight"))
+
+
+@query("impute_scale", with_(*scored(LEX)) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, {R(f'median(CAST({c} AS DOUBLE))', 6)} AS median, {R(f'avg({c})', 6)} AS mean, "
+    f"{R(f'stddev_pop({c})', 6)} AS std FROM scored" for c in ("handling_days", "narrative_length", "sent_compound")))
+def q_impute_scale(spark, sf):
+    """Exact median (imputation), mean and population std of numeric features."""
+    return M.impute_scale_stats(_fact(spark, sf), ["handling_days", "narrative_length", "sent_compound"])
+
+
+@query("ordinal_encode", with_(*scored(LEX)) + """
+SELECT issue, CAST(dense_rank() OVER (ORDER BY issue) - 1 AS INTEGER) AS issue_code FROM (SELECT DISTINCT issue FROM scored) d""")
+def q_ordinal_encode(spark, sf):
+    """Alphabetical 0-based codes of a categorical feature."""
+    e = T.ordinal_encode(_fact(spark, sf).select("issue"), "issue")
+    return e.select("issue", F.col("issue_code").cast("int")).distinct()
+
+
+@query("onehot_rare", with_(*scored(LEX)) + """
+SELECT CASE WHEN cnt >= 1000 THEN state ELSE '__rare__' END AS state, sum(cnt) AS n FROM (
+  SELECT state, count(*) AS cnt FROM scored GROUP BY 1) g GROUP BY 1""")
+def q_onehot_rare(spark, sf):
+    """Categories under a row threshold pooled into one level before encoding."""
+    p = T.rare_pool(_fact(spark, sf).select("state"), "state", 1000)
+    return p.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("score_parity", with_(*scored(LEX)) + f"""
+SELECT {R('max(abs(escalation_score - greatest(escalation_score, churn_risk_score)))', 6)} AS max_abs_diff FROM scored""")
+def q_score_parity(spark, sf):
+    """Max absolute difference between two score columns."""
+    f = _fact(spark, sf).withColumn("risk", F.greatest("escalation_score", "churn_risk_score"))
+    return M.score_parity(f, "escalation_score", "risk")
+
+
+# ---- fitted models: rows-only checks ------------------------------------------
+
+def _split(spark, sf, label):
+    s = M.stratified_split(_fact(spark, sf), "complaint_id", label)
+    return s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
+
+
+@query("train_escalation")
+def q_train_escalation(spark, sf):
+    """TF-IDF + one-hot + numeric -> weighted logistic regression; test metrics."""
+    train, test = _split(spark, sf, "is_escalated")
+    model = ML.train_escalation(train, max_features=2000, max_iter=30)
+    return ML.evaluate(ML.score(test, model, "p"), "p", "is_escalated", train.count())
+
+
+@query("train_churn")
+def q_train_churn(spark, sf):
+    """Intake-only features -> gradient-boosted trees on the churn proxy label."""
+    train, test = _split(spark, sf, "churn_risk_label")
+    model = ML.train_churn(train, max_iter=10, max_depth=4)
+    return ML.evaluate(ML.score(test, model, "p"), "p", "churn_risk_label", train.count())
+
+
+@query("train_text_model")
+def q_train_text_model(spark, sf):
+    """Text-only escalation model on narrated rows."""
+    train, test = _split(spark, sf, "is_escalated")
+    train = train.filter(F.col("has_narrative") == 1)
+    test = test.filter(F.col("has_narrative") == 1)
+    model = ML.train_text_model(train, max_features=3000, max_iter=30)
+    return ML.evaluate(ML.score(test, model, "p"), "p", "is_escalated", train.count())
+
+
+@query("score_model")
+def q_score_model(spark, sf):
+    """P(class 1) for every row from a fitted churn model, flagged at 0.5."""
+    train, _ = _split(spark, sf, "churn_risk_label")
+    model = ML.train_churn(train, max_iter=5, max_depth=3)
+    s = ML.score(_fact(spark, sf), model, "churn_score")
+    return s.select("complaint_id", "churn_score", (F.col("churn_score") >= 0.5).cast("int").alias("flag"))
+
+
+@query("top_terms")
+def q_top_terms(spark, sf):
+    """Largest text coefficients of the escalation model (k = 15)."""
+    train, _ = _split(spark, sf, "is_escalated")
+    model = ML.train_text_model(train.filter(F.col("has_narrative") == 1), max_features=2000, max_iter=20)
+    rows = ML.top_terms(model, 15)
+    return spark.createDataFrame(rows, "term string, weight double")
+
+
+@query("leakage_guard")
+def q_leakage_guard(spark, sf):
+    """Intake features pass the label-leakage check; the churn fact is read."""
+    ML.leakage_guard(CHURN_CATEGORICAL + CHURN_NUMERIC)
+    f = _fact(spark, sf).select(*CHURN_CATEGORICAL, *CHURN_NUMERIC)
+    return f.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(f.columns)).alias("features"))
+
+
+@query("model_report_card")
+def q_model_report_card(spark, sf):
+    """Escalation and churn AUCs and split sizes, one row per model."""
+    e = q_train_escalation(spark, sf).withColumn("model", F.lit("escalation"))
+    c = q_train_churn(spark, sf).withColumn("model", F.lit("churn"))
+    return e.unionByName(c)

@@ -1,2 +1,107 @@
-"""Queries (filled in below)."""
+"""Sink queries: each writes to a fresh folder under the shared checkpoint
+folder and reads the result back (rows-only checks)."""
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import bi, mis
+from ..operators.refresh import refresh_log
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources import sinks
+from .registry import query
+
+
+def _dir(spark, name):
+    return scratch_path(spark, f"{name}_{uuid.uuid4().hex[:10]}")
+
+
+@query("write_scored")
+def q_write_scored(spark, sf):
+    """Scored fact written partitioned by year, read back per year."""
+    p = _dir(spark, "scored")
+    sinks.write_scored(fx.scored_fact(spark, sf), p)
+    return spark.read.parquet(p).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("write_mis")
+def q_write_mis(spark, sf):
+    """Both MIS tables written and read back."""
+    b = fx.bulk(spark, sf)
+    p = _dir(spark, "mis")
+    sinks.write_mis(mis.mis_monthly(b, fx.TARGET_COMPANY), mis.mis_company(b, fx.TARGET_COMPANY), p)
+    return spark.read.parquet(f"{p}/mis_industry_monthly")
+
+
+@query("write_csv_star")
+def q_write_csv_star(spark, sf):
+    """Lean fact, date dimension and MIS tables as header CSVs with ISO dates."""
+    f = fx.scored_fact(spark, sf)
+    b = fx.bulk(spark, sf)
+    league = mis.mis_company(b, fx.TARGET_COMPANY)
+    p = _dir(spark, "star")
+    sinks.write_csv_star({"fact_complaints": f.drop("narrative"), "dim_date": bi.dim_date(f),
+                          "mis_industry_monthly": mis.mis_monthly(b, fx.TARGET_COMPANY),
+                          "mis_company_benchmark_top200": league.filter(F.col("rank") <= 200)}, p)
+    return spark.read.option("header", True).csv(f"{p}/dim_date")
+
+
+@query("write_extract_json")
+def q_write_extract_json(spark, sf):
+    """Dashboard sections as JSON lines."""
+    from ..operators import dashboard as D
+    f = fx.scored_fact(spark, sf)
+    p = _dir(spark, "extract")
+    sinks.write_extract_json({"kpis": D.kpis(f), "monthly": D.monthly_trend(f),
+                              "states_metrics": D.states_metrics(f)}, p)
+    return spark.read.json(f"{p}/monthly")
+
+
+@query("load_warehouse")
+def q_load_warehouse(spark, sf):
+    """Curated tables replaced in the catalog as external tables."""
+    b = fx.bulk(spark, sf)
+    p = _dir(spark, "warehouse")
+    name = f"mis_monthly_{uuid.uuid4().hex[:8]}"
+    sinks.load_warehouse({name: mis.mis_monthly(b, fx.TARGET_COMPANY)}, p)
+    return spark.table(f"default.{name}")
+
+
+@query("refresh_log")
+def q_refresh_log(spark, sf):
+    """A refresh stamp (rows, new rows, retrained) appended to the log table."""
+    f = fx.scored_fact(spark, sf)
+    n = f.count()
+    p = _dir(spark, "log")
+    sinks.append_log(refresh_log(spark, n, 0, False), p)
+    return spark.read.parquet(p).select("rows", "new_rows", "retrained")
+
+
+@query("scan_json_hits")
+def q_scan_json_hits(spark, sf):
+    """API payload files (hits wrapping _source) read with the fixed schema."""
+    from ..sources.files import read_cases_json
+    c = fx.cases(spark, sf).drop("score_hint_a", "score_hint_b")
+    hits = c.select(F.col("complaint_id").cast("string").alias("_id"),
+                    F.struct(*[F.col(x).cast("string").alias(x) for x in c.columns]).alias("_source"))
+    p = _dir(spark, "hits")
+    hits.write.mode("overwrite").json(p)
+    return read_cases_json(spark, p, company=fx.TARGET_COMPANY, multiline=False) \
+        .agg(F.count(F.lit(1)).alias("rows"), F.count("date_received").alias("dated"))
+
+
+@query("scan_bulk_csv")
+def q_scan_bulk_csv(spark, sf):
+    """Bulk export CSV (header names, quoted multi-line text) read and renamed."""
+    from ..schemas import BULK_COLUMN_MAP
+    from ..sources.files import read_bulk_csv
+    inv = {v: k for k, v in BULK_COLUMN_MAP.items()}
+    b = fx.bulk(spark, sf)
+    out = b.select(*[F.col(c).cast("string").alias(inv[c]) for c in b.columns if c in inv])
+    p = _dir(spark, "bulkcsv")
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(p)
+    r = read_bulk_csv(spark, p)
+    return r.agg(F.count(F.lit(1)).alias("rows"), F.count("date_received").alias("dated"),
+                 F.count_distinct("company").alias("companies"))

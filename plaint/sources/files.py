@@ -44,10 +44,10 @@ def _safe_timestamp(c):
 
 
 def read_cases_json(spark: SparkSession, path: str, company: str | None = None,
-                    hits: bool = True) -> DataFrame:
+                    hits: bool = True, multiline: bool = True) -> DataFrame:
     """Read API payload files (a list of hits wrapping ``_source``), force the
     16-field schema and coerce types. ``company`` filters case-insensitively."""
-    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE")
+    reader = spark.read.option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
     if hits:
         df = reader.schema(HIT_SCHEMA).json(path).select("_source.*")
     else:
