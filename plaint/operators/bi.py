@@ -31,7 +31,9 @@ def dim_date_calendar(fact: DataFrame, ts: str = "date_received") -> DataFrame:
 
 
 def join_dim_date(fact: DataFrame, dim: DataFrame, ts: str = "date_received") -> DataFrame:
-    """Fact N:1 date dimension on the day (dimension broadcast: calendar-bounded)."""
+    """Fact N:1 date dimension on the day (dimension broadcast: calendar-bounded).
+    Fact columns named like dimension attributes are replaced by the dimension's."""
+    fact = fact.drop(*[c for c in dim.columns if c in fact.columns and c != ts])
     return fact.join(F.broadcast(dim), F.to_date(fact[ts]) == dim["date"], "left")
 
 

@@ -16,7 +16,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from plaint.sources.fixtures import TABLES  # noqa: E402
+from plaint.sources.fixtures import TABLES  # noqa: E402,F401
 
 
 def duck(sf_dir: str):
