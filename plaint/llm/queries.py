@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 from .langid import op1_langid
+from .quality import op9_quality
 
 QUERIES = {
     "op1_langid": (op1_langid, None),
+    "op9_quality": (op9_quality, None),
 }
