@@ -3,8 +3,10 @@ from __future__ import annotations
 
 from .langid import op1_langid
 from .quality import op9_quality
+from .simhash import op4_simhash
 
 QUERIES = {
     "op1_langid": (op1_langid, None),
+    "op4_simhash": (op4_simhash, None),
     "op9_quality": (op9_quality, None),
 }
