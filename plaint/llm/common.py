@@ -65,3 +65,22 @@ def word_ranges(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word[0] = word[-1] = False
     edge = np.flatnonzero(word[1:] != word[:-1])
     return a, edge[::2], edge[1::2]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark's default file system would resolve it; executors then open the same place."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
+
+
+def store(uri: str):
+    """(pyarrow file system, path) of a qualified path."""
+    from pyarrow import fs
+
+    head, sep, rest = uri.partition(":")
+    if head in ("s3a", "s3n"):
+        uri = "s3" + sep + rest
+    if head == "file" and not rest.startswith("//"):
+        uri = f"file://{rest}"
+    return fs.FileSystem.from_uri(uri)

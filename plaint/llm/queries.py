@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from .langid import op1_langid
 from .quality import op9_quality
+from .records import op6_records
 from .simhash import op4_simhash
 
 QUERIES = {
     "op1_langid": (op1_langid, None),
     "op4_simhash": (op4_simhash, None),
+    "op6_records": (op6_records, None),
     "op9_quality": (op9_quality, None),
 }
