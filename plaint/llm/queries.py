@@ -2,12 +2,14 @@
 from __future__ import annotations
 
 from .langid import op1_langid
+from .packing import op3_packing
 from .quality import op9_quality
 from .records import op6_records
 from .simhash import op4_simhash
 
 QUERIES = {
     "op1_langid": (op1_langid, None),
+    "op3_packing": (op3_packing, None),
     "op4_simhash": (op4_simhash, None),
     "op6_records": (op6_records, None),
     "op9_quality": (op9_quality, None),
