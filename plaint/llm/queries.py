@@ -1,6 +1,7 @@
 """The subpackage's registered queries: name -> (callable, DuckDB SQL or None)."""
 from __future__ import annotations
 
+from .bpe import op8_bpe
 from .langid import op1_langid
 from .packing import op3_packing
 from .quality import op9_quality
@@ -12,5 +13,6 @@ QUERIES = {
     "op3_packing": (op3_packing, None),
     "op4_simhash": (op4_simhash, None),
     "op6_records": (op6_records, None),
+    "op8_bpe": (op8_bpe, None),
     "op9_quality": (op9_quality, None),
 }
