@@ -7,9 +7,11 @@ from .packing import op3_packing
 from .quality import op9_quality
 from .records import op6_records
 from .simhash import op4_simhash
+from .warc import op2_warc
 
 QUERIES = {
     "op1_langid": (op1_langid, None),
+    "op2_warc": (op2_warc, None),
     "op3_packing": (op3_packing, None),
     "op4_simhash": (op4_simhash, None),
     "op6_records": (op6_records, None),
