@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .html_text import op10_html
 from .langid import op1_langid
 from .packing import op3_packing
 from .quality import op9_quality
@@ -17,4 +18,5 @@ QUERIES = {
     "op6_records": (op6_records, None),
     "op8_bpe": (op8_bpe, None),
     "op9_quality": (op9_quality, None),
+    "op10_html": (op10_html, None),
 }
