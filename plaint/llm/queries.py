@@ -8,6 +8,7 @@ from .packing import op3_packing
 from .quality import op9_quality
 from .records import op6_records
 from .simhash import op4_simhash
+from .syncmers import op5_syncmers
 from .warc import op2_warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_warc": (op2_warc, None),
     "op3_packing": (op3_packing, None),
     "op4_simhash": (op4_simhash, None),
+    "op5_syncmers": (op5_syncmers, None),
     "op6_records": (op6_records, None),
     "op8_bpe": (op8_bpe, None),
     "op9_quality": (op9_quality, None),
