@@ -8,6 +8,7 @@ from .packing import op3_packing
 from .quality import op9_quality
 from .records import op6_records
 from .simhash import op4_simhash
+from .substrings import OP7_SQL, op7_substrings
 from .syncmers import op5_syncmers
 from .warc import op2_warc
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_simhash": (op4_simhash, None),
     "op5_syncmers": (op5_syncmers, None),
     "op6_records": (op6_records, None),
+    "op7_substrings": (op7_substrings, OP7_SQL),
     "op8_bpe": (op8_bpe, None),
     "op9_quality": (op9_quality, None),
     "op10_html": (op10_html, None),
