@@ -294,8 +294,9 @@ def spans(df: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.filter("known = 1").select("doc_id", "first", "size").union(search(pieces, window))
 
 
-def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept) for each row of ``df`` (doc_id, text); ``kept`` are the kept words joined by a space.
+def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(row, n_words, n_removed, kept_sha256, kept) for each row of ``df`` (doc_id, text); ``kept`` are the kept words joined by a
+    space, ``row`` is a struct of ``keep_columns``, so that no name can clash.
 
     A word is removed if a window of ``window`` words over it also starts in a document with a smaller doc_id; all is judged on
     the input. Null or empty texts have no words. A doc_id stands for one text: rows that repeat an id must repeat the text, and
@@ -319,15 +320,16 @@ def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
                 n_removed.append(n_words[-1] - len(w))
                 kept.append(b" ".join(w))
             cols = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    joined = docs.join(marked, "doc_id", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep_columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    joined = rows.join(marked, "doc_id", "left").select("row", "text", "spans")
+    return joined.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a window shared with an earlier document covers, removed."""
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents")).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 OP7_SQL = r"""
