@@ -86,8 +86,8 @@ class View:
 
 def parse_record(data: bytes, digests: bool = True) -> tuple[dict[str, str], bytes, int | None, int] | str | None:
     """(headers, payload, length told by the HTTP header, bytes used) of the record at the start of ``data``; what is wrong with it; None if it goes on behind ``data``."""
-    if not data.startswith(b"WARC/1."):
-        return None if len(data) < 7 and b"WARC/1.".startswith(data) else "no version line"
+    if not re.match(rb"WARC/1\.[01]\r\n", data):
+        return None if len(data) < 10 and data[:7] == b"WARC/1."[: len(data)] else "no version line"
     split = data.find(b"\r\n\r\n")
     if split < 0:
         return "endless headers" if len(data) > 1 << 20 else None
