@@ -62,7 +62,7 @@ def numeric_stages(cols: list[str], scale: bool = True) -> tuple[list, str]:
     cast = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_d" for c in cols)
     stages = [SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__"),
               Imputer(inputCols=[f"{c}_d" for c in cols], outputCols=[f"{c}_m" for c in cols],
-                      strategy="median", relativeError=0.0),
+                      strategy="median", relativeError=0.001),
               VectorAssembler(inputCols=[f"{c}_m" for c in cols], outputCol="_num_raw")]
     if scale:
         stages.append(StandardScaler(inputCol="_num_raw", outputCol="_num", withMean=True, withStd=True))
@@ -71,7 +71,7 @@ def numeric_stages(cols: list[str], scale: bool = True) -> tuple[list, str]:
 
 
 def train_escalation(train: DataFrame, label: str = "is_escalated", text: str = "narrative",
-                     max_features: int = 5000, max_iter: int = 100) -> PipelineModel:
+                     max_features: int = 5000, max_iter: int = 2000) -> PipelineModel:
     """TF-IDF + one-hot + scaled numeric -> class-weighted L2 logistic regression."""
     cats, cat_out = categorical_stages(ESCALATION_CATEGORICAL)
     nums, num_out = numeric_stages(ESCALATION_NUMERIC)
@@ -86,7 +86,7 @@ def train_escalation(train: DataFrame, label: str = "is_escalated", text: str =
 
 
 def train_text_model(train: DataFrame, label: str = "is_escalated", text: str = "narrative",
-                     max_features: int = 3000, max_iter: int = 100) -> PipelineModel:
+                     max_features: int = 3000, max_iter: int = 2000) -> PipelineModel:
     """Text-only escalation model on narrated rows."""
     n = train.count()
     stages = text_stages(text, max_features) + [
@@ -96,16 +96,18 @@ def train_text_model(train: DataFrame, label: str = "is_escalated", text: str =
     return Pipeline(stages=stages).fit(M.class_weights(train, label))
 
 
-def train_churn(train: DataFrame, label: str = "churn_risk_label", max_iter: int = 20,
-                max_depth: int = 4, step: float = 0.08) -> PipelineModel:
-    """Intake-only features -> gradient-boosted trees (full setting: 300 iterations, depth 6)."""
+def train_churn(train: DataFrame, label: str = "churn_risk_label", max_iter: int = 300,
+                max_depth: int = 6, step: float = 0.08) -> PipelineModel:
+    """Intake-only features -> gradient-boosted trees; bins for the column with the most levels."""
     leakage_guard(CHURN_CATEGORICAL + CHURN_NUMERIC)
     cats, cat_out = categorical_stages(CHURN_CATEGORICAL, one_hot=False)
     nums, num_out = numeric_stages(CHURN_NUMERIC, scale=False)
+    filled = train.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in CHURN_CATEGORICAL]).first()
+    bins = max(256, int(1.2 * max(filled)) + 3)  # each level of a category needs a bin
     stages = cats + nums + [
         VectorAssembler(inputCols=[*cat_out, num_out], outputCol="features"),
         GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                      stepSize=step, maxBins=256, seed=42),
+                      stepSize=step, maxBins=bins, seed=42),
     ]
     return Pipeline(stages=stages).fit(train)
 

@@ -4,7 +4,8 @@ scores and per-document term explanations.
 Everything is a shuffle-based relational job: explode terms (narrow), count
 (doc, term) with partial aggregation, document frequency per term, vocabulary
 top-k, and broadcast joins of the bounded vocabulary back to the long table.
-The vocabulary is at most ``max_features`` rows, so broadcasting it is bounded."""
+The vocabulary is at most ``max_features`` rows, so broadcasting it is bounded;
+coefficient tables of callers are joined without a hint."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,31 +37,22 @@ whereby wherein whereupon wherever whether which while whither who whoever whole
 why will with within without would yet you your yours yourself yourselves
 """.split())
 
-TERM_PATTERN = r"([a-z0-9_]{2,})"
-# a stop word standing as a whole [a-z0-9_] run
-STOP_PATTERN = r"(?<![a-z0-9_])(?:" + "|".join(STOP_WORDS) + r")(?![a-z0-9_])"
+# runs of two or more word characters: ASCII for the browser-side scorer, Unicode for training
+ASCII_TERMS = r"([a-z0-9_]{2,})"
+UNICODE_TERMS = r"([\p{L}\p{N}_]{2,})"
 
 
-def stop_words_frame(spark) -> DataFrame:
-    body = ", ".join(f"('{w}')" for w in STOP_WORDS)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t(word)")
-
-
-def tokenize_terms(df: DataFrame, key: str, text_col: str, ngram: int = 2) -> DataFrame:
+def tokenize_terms(df: DataFrame, key: str, text_col: str, ngram: int = 2, pattern: str = ASCII_TERMS) -> DataFrame:
     """(key, term) rows: lower-case runs of >= 2 word characters, stop words
-    removed before n-grams, unigrams UNION ALL bigrams."""
-    low = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), STOP_PATTERN, " ")
-    kept = F.regexp_extract_all(low, F.lit(TERM_PATTERN), 1)
-    d = df.select(key, kept.alias("_t"))
-    uni = d.select(key, F.explode("_t").alias("term"))
+    removed before n-grams, unigrams and bigrams in one pass over the texts."""
+    runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(pattern), 1)
+    d = df.select(key, F.filter(runs, lambda t: ~t.isin(*STOP_WORDS)).alias("_t"))
     if ngram < 2:
-        return uni
+        return d.select(key, F.explode("_t").alias("term"))
     n = F.size("_t")
-    bi = d.select(key, F.explode(F.arrays_zip(F.col("_t").alias("a"),
-                                              F.slice("_t", 2, F.greatest(n - 1, F.lit(0))).alias("b"))).alias("p")) \
-          .filter(F.col("p.b").isNotNull()) \
-          .select(key, F.concat_ws(" ", "p.a", "p.b").alias("term"))
-    return uni.unionByName(bi)
+    pairs = F.zip_with(F.slice("_t", 1, F.greatest(n - 1, F.lit(0))), F.slice("_t", 2, F.greatest(n - 1, F.lit(0))),
+                       lambda a, b: F.concat_ws(" ", a, b))
+    return d.select(key, F.explode(F.concat("_t", pairs)).alias("term"))
 
 
 def term_counts(terms: DataFrame, key: str) -> DataFrame:
@@ -85,24 +77,31 @@ def with_idf(vocab: DataFrame, n_docs: Column) -> DataFrame:
 
 
 def tfidf(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """(key, term, weight): (1 + ln tf) * idf, L2-normalized per document."""
+    """(key, term, weight): (1 + ln tf) * idf, L2-normalized per document.
+
+    ``vocab`` comes out of ``vocabulary`` (at most ``max_features`` rows), so it
+    is broadcast."""
     v = F.broadcast(vocab.select("term", "idf"))
     w = counts.join(v, "term").withColumn("_w", (1 + F.log(F.col("tf"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return w.select(key, "term", (F.col("_w") / norm).alias("weight"))
 
 
-def score_linear_terms(weights: DataFrame, coef: DataFrame, key: str, intercept: float) -> DataFrame:
-    """sigmoid(intercept + sum coef * weight) per document with >= 1 term."""
-    j = weights.join(F.broadcast(coef.select("term", "coef")), "term")
+def score_linear_terms(weights: DataFrame, coef: DataFrame, key: str, intercept: float,
+                       documents: DataFrame) -> DataFrame:
+    """sigmoid(intercept + sum coef * weight) for every row of ``documents``
+    (column ``key``); one without a known term gets sigmoid(intercept), matched 0."""
+    j = weights.join(coef.select("term", "coef"), "term")
     g = j.groupBy(key).agg(F.sum(F.col("coef") * F.col("weight")).alias("_z"),
-                           F.count(F.lit(1)).alias("matched"))
-    return g.select(key, "matched", (1 / (1 + F.exp(-(F.lit(intercept) + F.col("_z"))))).alias("prob"))
+                           F.count(F.lit(1)).alias("_m"))
+    every = documents.select(key).join(g, key, "left")
+    z = F.lit(intercept) + F.coalesce("_z", F.lit(0.0))
+    return every.select(key, F.coalesce("_m", F.lit(0)).alias("matched"), (1 / (1 + F.exp(-z))).alias("prob"))
 
 
 def explain_terms(weights: DataFrame, coef: DataFrame, key: str, k: int = 6) -> DataFrame:
     """Top k positive and top k negative term contributions per document."""
-    j = weights.join(F.broadcast(coef.select("term", "coef")), "term") \
+    j = weights.join(coef.select("term", "coef"), "term") \
                .withColumn("contribution", F.col("coef") * F.col("weight"))
     up = j.filter(F.col("contribution") > 0).withColumn(
         "rank", F.row_number().over(Window.partitionBy(key).orderBy(F.col("contribution").desc(), "term")))
@@ -113,17 +112,31 @@ def explain_terms(weights: DataFrame, coef: DataFrame, key: str, k: int = 6) ->
     return up.unionByName(down).select(key, "direction", "rank", "term", "contribution")
 
 
-def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Alphabetical ordinal code (0-based) of a categorical column."""
-    levels = df.select(col).distinct().filter(F.col(col).isNotNull())
-    codes = levels.withColumn("_code", F.dense_rank().over(Window.orderBy(col)) - 1)
-    # levels are distinct category values (bounded by the column's cardinality)
-    return df.join(F.broadcast(codes), col, "left").withColumnRenamed("_code", out or f"{col}_code")
+def ordinal_levels(df: DataFrame, col: str) -> DataFrame:
+    """(level, code): the fitted alphabetical 0-based codes of a column's values."""
+    from .ranking import global_row_number
+    levels = df.select(F.col(col).alias("level")).distinct().filter(F.col("level").isNotNull())
+    return global_row_number(levels, [F.col("level").asc()], "code").select("level", (F.col("code") - 1).cast("int").alias("code"))
+
+
+def ordinal_encode(df: DataFrame, col: str, out: str | None = None, levels: DataFrame | None = None) -> DataFrame:
+    """Alphabetical ordinal code (0-based) of a categorical column; a value that
+    is null or not among the fitted ``levels`` (default: fitted on ``df``) gets -1."""
+    fitted = ordinal_levels(df, col) if levels is None else levels
+    coded = df.join(fitted.select(F.col("level").alias("_level"), F.col("code").alias("_code")), F.col(col) == F.col("_level"), "left")
+    return coded.withColumn(out or f"{col}_code", F.coalesce("_code", F.lit(-1))).drop("_level", "_code")
+
+
+def rare_levels(df: DataFrame, col: str, min_count: int = 25) -> DataFrame:
+    """Levels with fewer than ``min_count`` rows (null is a level), counted map-side first."""
+    return df.groupBy(F.col(col).alias("_rare")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < min_count).select("_rare")
 
 
 def rare_pool(df: DataFrame, col: str, min_count: int = 25, rare: str = "__rare__") -> DataFrame:
-    """Categories with fewer than ``min_count`` rows pooled into one level."""
-    c = df.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    j = df.join(c, col, "left")
-    return j.withColumn(col, F.when(F.col("_cnt") >= min_count, F.col(col)).otherwise(F.lit(rare))).drop("_cnt")
+    """Categories with fewer than ``min_count`` rows pooled into one level.
 
+    Only rare levels are joined back, so frequent (hot) levels meet no partner;
+    Spark broadcasts the list where its measured size allows."""
+    few = rare_levels(df, col, min_count).withColumn("_is", F.lit(True))
+    j = df.join(few, F.col(col).eqNullSafe(F.col("_rare")), "left")
+    return j.withColumn(col, F.when(F.col("_is"), F.lit(rare)).otherwise(F.col(col))).drop("_rare", "_is")

@@ -8,7 +8,7 @@ from ..operators import clean as C
 from ..sources import files
 from ..sources import fixtures as fx
 from .registry import query
-from .sql_views import CASES, CLEAN_NARRATIVE, R, STRIP, cleaned, with_
+from .sql_views import BULK, CASES, CLEAN_NARRATIVE, R, STRIP, cleaned, with_
 
 _CLEAN = with_(CASES, cleaned("cases"))
 
@@ -69,22 +69,30 @@ def q_flag_timely_relief(spark, sf):
 SELECT complaint_id, date_received, date_sent_to_company, coalesce(complaint_what_happened, '') AS complaint_what_happened,
        company, timely FROM cases""")
 def q_coerce_types(spark, sf):
-    """Safe casts of a textual feed (dates and ids rendered as text first)."""
+    """Safe casts of a textual feed: dates arrive in six text forms, ids as text."""
+    k = F.pmod("complaint_id", F.lit(6))
+    forms = ["yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'", "yyyy-MM-dd HH:mm:ss.SSS", "yyyyMMdd", "MM/dd/yyyy", "' 'yyyy-MM-dd' '"]
+
+    def text(c):
+        out = F.date_format(c, forms[0])
+        for i, f in enumerate(forms[1:], 1):
+            out = F.when(k == i, F.date_format(c, f)).otherwise(out)
+        return out
     c = fx.cases(spark, sf).select(
         F.col("complaint_id").cast("string").alias("complaint_id"),
-        F.date_format("date_received", "yyyy-MM-dd'T'HH:mm:ss").alias("date_received"),
-        F.date_format("date_sent_to_company", "yyyy-MM-dd HH:mm:ss").alias("date_sent_to_company"),
+        text("date_received").alias("date_received"), text("date_sent_to_company").alias("date_sent_to_company"),
         "complaint_what_happened", "company", "timely")
     t = files.coerce_types(c)
     return t.select("complaint_id", "date_received", "date_sent_to_company",
                     "complaint_what_happened", "company", "timely")
 
 
-@query("source_company_filter", with_(CASES) + """
-SELECT count(*) AS rows FROM cases WHERE company = 'Supplier#000000000' OR upper(company) = upper('Supplier#000000000')""")
+@query("source_company_filter", with_(BULK) + """
+SELECT company, count(*) AS rows FROM bulk WHERE company = 'Supplier#000000000' GROUP BY 1""")
 def q_source_company_filter(spark, sf):
-    """Target-company predicate at the source."""
-    return files.source_company_filter(fx.cases(spark, sf), fx.TARGET_COMPANY).agg(F.count(F.lit(1)).alias("rows"))
+    """Target-company rows of the industry feed."""
+    kept = files.source_company_filter(fx.bulk(spark, sf), fx.TARGET_COMPANY)
+    return kept.groupBy("company").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("scan_pruned_parquet", "SELECT l_orderkey, l_shipdate FROM lineitem WHERE l_returnflag = 'R'")

@@ -71,14 +71,12 @@ def q_classification_report(spark, sf):
 
 
 @query("stratified_split", with_(*scored(LEX)) + """
-SELECT is_escalated, split, count(*) AS n FROM (
-  SELECT *, CASE WHEN row_number() OVER (PARTITION BY is_escalated ORDER BY md5(CAST(complaint_id AS VARCHAR)), complaint_id)
+SELECT complaint_id, is_escalated, CASE WHEN row_number() OVER (PARTITION BY is_escalated ORDER BY md5(CAST(complaint_id AS VARCHAR)), complaint_id)
                       <= round(0.2 * count(*) OVER (PARTITION BY is_escalated)) THEN 'test' ELSE 'train' END AS split
-  FROM scored) x GROUP BY 1, 2""")
+FROM scored""")
 def q_stratified_split(spark, sf):
-    """Deterministic 80/20 split stratified on the label (md5 order)."""
-    s = M.stratified_split(_fact(spark, sf), "complaint_id", "is_escalated")
-    return s.groupBy("is_escalated", "split").agg(F.count(F.lit(1)).alias("n"))
+    """Deterministic 80/20 split stratified on the label (md5 order), per id."""
+    return M.stratified_split(_fact(spark, sf), "complaint_id", "is_escalated").select("complaint_id", "is_escalated", "split")
 
 
 @query("class_weights", with_(*scored(LEX)) + f"""
@@ -106,11 +104,11 @@ def q_ordinal_encode(spark, sf):
 
 
 @query("onehot_rare", with_(*scored(LEX)) + """
-SELECT CASE WHEN cnt >= 1000 THEN state ELSE '__rare__' END AS state, sum(cnt) AS n FROM (
+SELECT CASE WHEN cnt >= 25 THEN state ELSE '__rare__' END AS state, sum(cnt) AS n FROM (
   SELECT state, count(*) AS cnt FROM scored GROUP BY 1) g GROUP BY 1""")
 def q_onehot_rare(spark, sf):
     """Categories under a row threshold pooled into one level before encoding."""
-    p = T.rare_pool(_fact(spark, sf).select("state"), "state", 1000)
+    p = T.rare_pool(_fact(spark, sf).select("state"), "state", 25)
     return p.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -133,7 +131,7 @@ def _split(spark, sf, label):
 def q_train_escalation(spark, sf):
     """TF-IDF + one-hot + numeric -> weighted logistic regression; test metrics."""
     train, test = _split(spark, sf, "is_escalated")
-    model = ML.train_escalation(train, max_features=2000, max_iter=30)
+    model = ML.train_escalation(train)
     return ML.evaluate(ML.score(test, model, "p"), "p", "is_escalated", train.count())
 
 
@@ -151,7 +149,7 @@ def q_train_text_model(spark, sf):
     train, test = _split(spark, sf, "is_escalated")
     train = train.filter(F.col("has_narrative") == 1)
     test = test.filter(F.col("has_narrative") == 1)
-    model = ML.train_text_model(train, max_features=3000, max_iter=30)
+    model = ML.train_text_model(train)
     return ML.evaluate(ML.score(test, model, "p"), "p", "is_escalated", train.count())
 
 
@@ -168,7 +166,7 @@ def q_score_model(spark, sf):
 def q_top_terms(spark, sf):
     """Largest text coefficients of the escalation model (k = 15)."""
     train, _ = _split(spark, sf, "is_escalated")
-    model = ML.train_text_model(train.filter(F.col("has_narrative") == 1), max_features=2000, max_iter=20)
+    model = ML.train_text_model(train.filter(F.col("has_narrative") == 1))
     rows = ML.top_terms(model, 15)
     return spark.createDataFrame(rows, "term string, weight double")
 

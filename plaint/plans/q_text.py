@@ -6,10 +6,13 @@ stand-in for a fitted model's weights, derived from each term's characters
 (the fitted path is ``train_text_model``)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
 from ..operators import text as T
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from .registry import query
 from .sql_views import R, with_
@@ -40,7 +43,10 @@ def _docs(spark, sf):
 
 
 def _counts(spark, sf):
-    return T.term_counts(T.tokenize_terms(_docs(spark, sf), KEY, "text"), KEY)
+    """(doc, term, tf), written once: vocabulary, weights and scores all read it."""
+    path = scratch_path(spark, f"terms_{uuid.uuid4().hex}")
+    T.term_counts(T.tokenize_terms(_docs(spark, sf), KEY, "text"), KEY).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _vocab(spark, sf, counts=None):
@@ -98,13 +104,14 @@ def q_tfidf(spark, sf):
                               rnd(F.max("weight"), 6).alias("weight_max"))
 
 
-@query("score_linear_terms", _W + f"""SELECT w.doc_id, count(*) AS matched,
-       {R(f'1 / (1 + exp(-({INTERCEPT} + sum(c.coef * w.weight))))', 6)} AS prob
-FROM weights w JOIN coef c ON c.term = w.term GROUP BY 1""")
+@query("score_linear_terms", _W + f"""SELECT d.doc_id, coalesce(matched, 0) AS matched,
+       {R(f'1 / (1 + exp(-({INTERCEPT} + coalesce(z, 0))))', 6)} AS prob
+FROM documents d LEFT JOIN (SELECT w.doc_id, count(*) AS matched, sum(c.coef * w.weight) AS z
+     FROM weights w JOIN coef c ON c.term = w.term GROUP BY 1) s ON s.doc_id = d.doc_id""")
 def q_score_linear_terms(spark, sf):
-    """sigmoid(intercept + sum coef x tfidf) per document."""
+    """sigmoid(intercept + sum coef x tfidf) for every document."""
     w, vocab = _weights(spark, sf)
-    s = T.score_linear_terms(w, _coef(vocab), KEY, INTERCEPT)
+    s = T.score_linear_terms(w, _coef(vocab), KEY, INTERCEPT, _docs(spark, sf))
     return s.select(KEY, "matched", rnd("prob", 6).alias("prob"))
 
 

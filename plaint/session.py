@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="plaint-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
