@@ -12,7 +12,7 @@ work. Every job must be right on any data of that schema.
 """
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,26 +141,18 @@ def scored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_scored(attach_scores(df, F.col("score_hint_a"), F.col("score_hint_b")))
 
 
-def _fingerprint(sf_dir: str, names) -> str:
-    import hashlib
-    import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for n in names:
-        p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
-    return h.hexdigest()[:16]
+_FACTS: dict[tuple[str, str], str] = {}
 
 
 def scored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored fact, written once as Parquet in the shared checkpoint folder
-    (lineage cut; survives executor loss) and read back by every dashboard
-    query. Keyed by a fingerprint of the input files."""
+    """The scored fact, built once per Spark application and input folder as a
+    new Parquet table in the shared checkpoint folder (lineage cut; survives
+    executor loss) and read back by every dashboard query. An application
+    always reads a table that its own code built."""
     from ..session import scratch_path
-    path = scratch_path(spark, "scored_" + _fingerprint(sf_dir, ["orders", "customer", "lineitem", "documents"]))
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # not written yet
-        scored_cases(spark, sf_dir).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FACTS:
+        path = scratch_path(spark, f"scored_{uuid.uuid4().hex}")
+        scored_cases(spark, sf_dir).write.parquet(path)
+        _FACTS[key] = path
+    return spark.read.parquet(_FACTS[key])
