@@ -35,6 +35,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, Entry]:
     # importing the modules registers their queries
-    from . import (q_alerts, q_bi, q_clean, q_dashboard, q_mis, q_ml,  # noqa: F401
+    from . import (q_alerts, q_bi, q_clean, q_dashboard, q_mis, q_ml, q_pipeline,  # noqa: F401
                    q_refresh, q_sentiment, q_sinks, q_stream, q_text)
     return REGISTRY
