@@ -106,11 +106,6 @@ def scored_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def base_rate(df: DataFrame, col: str) -> Column:
-    """Global mean of a label as a column (window over the whole table)."""
-    return F.avg(col).over(Window.partitionBy())
-
-
 def sentiment_trend(df: DataFrame) -> DataFrame:
     """Per month and sentiment band: count and mean compound."""
     d = drop_undated(df)

@@ -145,24 +145,47 @@ def _phrases(idioms: DataFrame, boosters: DataFrame) -> DataFrame:
     return u.groupBy("phrase").agg(F.max("special").alias("special"), F.max("pboost").alias("pboost"))
 
 
+# Word spans around a scoring word (0), from the first to the last offset: those whose idiom
+# value replaces the word's (in order of precedence), those that reach behind it, and those that boost.
+BACK_PHRASES = ((-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2))
+FORWARD_PHRASES = ((0, 1), (0, 2))
+BOOST_PHRASES = ((-3, -1), (-3, -2), (-2, -1))
+
+
+def offset_name(k: int) -> str:
+    """The lower-cased word ``k`` places behind (negative) or after the scoring word."""
+    return "lw" if k == 0 else f"lm{-k}" if k < 0 else f"lp{k}"
+
+
+def phrase_name(first: int, last: int) -> str:
+    return f"from{first + 3}to{last + 3}"
+
+
+def _joined(words: list[Column]) -> Column:
+    """The words with spaces between; null if one is missing."""
+    out = words[0]
+    for w in words[1:]:
+        out = F.concat(out, F.lit(" "), w)
+    return out
+
+
 MAX_LOOKUP_ROWS = 500_000  # lexicon-sized; anything larger is not a lookup table
 
 
 def _bounded_local(df: DataFrame, schema: str, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Materialize a small lookup table once as a local relation.
-
-    The row count is checked first, so what is broadcast has a proven bound
-    (a broadcast also passes the table through the driver)."""
+    """A lookup table of at most ``max_rows`` rows as one local relation with a
+    broadcast hint (the row count is checked first, so what is broadcast has a
+    proven bound); a larger one as it is, to be joined by a shuffle."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        raise ValueError(f"lookup table exceeds {max_rows} rows; not broadcastable")
-    return _literal_frame(df.sparkSession, [tuple(r) for r in rows], schema)
+        return df
+    return F.broadcast(_literal_frame(df.sparkSession, [tuple(r) for r in rows], schema))
 
 
 def _lookup(df: DataFrame, table: DataFrame, on: Column, key: str, prefix: str, cols: list[str]) -> DataFrame:
-    """Left join against one shared broadcast side (identical plans, so the
-    broadcast exchange is built once and reused by every lookup)."""
-    t = F.broadcast(table).alias(prefix)
+    """Left join against one shared side (identical plans, so the exchange is
+    built once and reused by every lookup)."""
+    t = table.alias(prefix)
     j = df.join(t, on == F.col(f"{prefix}.{key}"), "left")
     return j.select(*[df[c] for c in df.columns],
                     *[F.col(f"{prefix}.{c}").alias(f"{prefix}_{c}") for c in cols])
@@ -197,22 +220,15 @@ def token_valences(df: DataFrame, key: str, text_col: str, lexicon: DataFrame,
                            "word string, valence double, boost double, neg boolean")
     scoring = vocab.filter(F.col("valence").isNotNull() & F.col("boost").isNull()) \
                    .select(F.col("word").alias("_word"), F.col("valence").alias("base"))
-    hits = toks.join(F.broadcast(scoring), F.col("lw") == F.col("_word"), "inner").drop("_word")
+    hits = toks.join(scoring, F.col("lw") == F.col("_word"), "inner").drop("_word")
     if "kind_of" in rules:
         hits = hits.filter(~((F.col("lw") == "kind") & F.coalesce(F.col("lp1") == "of", F.lit(False))))
 
     for nb in ("lm1", "lm2", "lm3", "lp1"):
         hits = _lookup(hits, vocab, F.col(nb), "word", f"{nb}v", ["valence", "boost", "neg"])
     phrases = _bounded_local(_phrases(idioms, boosters), "phrase string, special double, pboost double")
-    grams = {
-        "onezero": F.concat(F.col("lm1"), F.lit(" "), F.col("lw")),
-        "twoonezero": F.concat(F.col("lm2"), F.lit(" "), F.col("lm1"), F.lit(" "), F.col("lw")),
-        "twoone": F.concat(F.col("lm2"), F.lit(" "), F.col("lm1")),
-        "threetwoone": F.concat(F.col("lm3"), F.lit(" "), F.col("lm2"), F.lit(" "), F.col("lm1")),
-        "threetwo": F.concat(F.col("lm3"), F.lit(" "), F.col("lm2")),
-        "zo": F.concat(F.col("lw"), F.lit(" "), F.col("lp1")),
-        "zot": F.concat(F.col("lw"), F.lit(" "), F.col("lp1"), F.lit(" "), F.col("lp2")),
-    }
+    grams = {phrase_name(*span): _joined([F.col(offset_name(k)) for k in range(span[0], span[1] + 1)])
+             for span in (*BACK_PHRASES, *FORWARD_PHRASES)}
     if "idioms" in rules:
         for g, expr in grams.items():
             hits = _lookup(hits, phrases, expr, "phrase", f"g_{g}", ["special", "pboost"])
@@ -276,13 +292,12 @@ def token_valences(df: DataFrame, key: str, text_col: str, lexicon: DataFrame,
             prev = f"s{k}"
         if k == 3 and "idioms" in rules:
             cur_i = F.col(prev)
-            special = F.coalesce(*[F.col(f"g_{g}_special") for g in
-                                   ("onezero", "twoonezero", "twoone", "threetwoone", "threetwo")])
+            special = F.coalesce(*[F.col(f"g_{phrase_name(*x)}_special") for x in BACK_PHRASES])
             iv = F.when(special.isNotNull(), special).otherwise(cur_i)
-            iv = F.when(F.col("g_zo_special").isNotNull(), F.col("g_zo_special")).otherwise(iv)
-            iv = F.when(F.col("g_zot_special").isNotNull(), F.col("g_zot_special")).otherwise(iv)
-            for g in ("threetwoone", "threetwo", "twoone"):
-                iv = iv + F.coalesce(F.col(f"g_{g}_pboost"), F.lit(0.0))
+            for x in FORWARD_PHRASES:  # the longer one wins
+                iv = F.coalesce(F.col(f"g_{phrase_name(*x)}_special"), iv)
+            for x in BOOST_PHRASES:
+                iv = iv + F.coalesce(F.col(f"g_{phrase_name(*x)}_pboost"), F.lit(0.0))
             steps.append(("i3", F.when(cond, iv).otherwise(cur_i)))
             prev = "i3"
     if "least" in rules:

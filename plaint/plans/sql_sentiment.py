@@ -88,12 +88,12 @@ def valence_ctes(rules=ALL_RULES) -> list[str]:
   FROM sv_tok WINDOW d AS (PARTITION BY k ORDER BY pos))""",
     ]
     kind = "AND NOT (h.lw = 'kind' AND coalesce(h.lp1 = 'of', false))" if "kind_of" in rules else ""
-    grams = {
-        "onezero": "h.lm1 || ' ' || h.lw", "twoonezero": "h.lm2 || ' ' || h.lm1 || ' ' || h.lw",
-        "twoone": "h.lm2 || ' ' || h.lm1", "threetwoone": "h.lm3 || ' ' || h.lm2 || ' ' || h.lm1",
-        "threetwo": "h.lm3 || ' ' || h.lm2", "zo": "h.lw || ' ' || h.lp1",
-        "zot": "h.lw || ' ' || h.lp1 || ' ' || h.lp2",
-    }
+    word = {-3: "h.lm3", -2: "h.lm2", -1: "h.lm1", 0: "h.lw", 1: "h.lp1", 2: "h.lp2"}
+    back, forward, boosting = ((-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)), ((0, 1), (0, 2)), ((-3, -1), (-3, -2), (-2, -1))
+
+    def name(span):
+        return f"from{span[0] + 3}to{span[1] + 3}"
+    grams = {name(x): " || ' ' || ".join(word[k] for k in range(x[0], x[1] + 1)) for x in (*back, *forward)}
     gsel, gjoin = "", ""
     if "idioms" in rules:
         for g, e in grams.items():
@@ -153,11 +153,11 @@ def valence_ctes(rules=ALL_RULES) -> list[str]:
             steps.append((f"n{k}", f"CASE WHEN {cond} THEN {ne} ELSE {prev} END"))
             prev = f"n{k}"
         if k == 3 and "idioms" in rules:
-            sp = "coalesce(onezero_sp, twoonezero_sp, twoone_sp, threetwoone_sp, threetwo_sp)"
+            sp = "coalesce(" + ", ".join(f"{name(x)}_sp" for x in back) + ")"
             iv = f"CASE WHEN {sp} IS NOT NULL THEN {sp} ELSE {prev} END"
-            iv = f"CASE WHEN zo_sp IS NOT NULL THEN zo_sp ELSE {iv} END"
-            iv = f"CASE WHEN zot_sp IS NOT NULL THEN zot_sp ELSE {iv} END"
-            iv = f"({iv}) + coalesce(threetwoone_pb, 0.0) + coalesce(threetwo_pb, 0.0) + coalesce(twoone_pb, 0.0)"
+            for x in forward:
+                iv = f"CASE WHEN {name(x)}_sp IS NOT NULL THEN {name(x)}_sp ELSE {iv} END"
+            iv = f"({iv})" + "".join(f" + coalesce({name(x)}_pb, 0.0)" for x in boosting)
             steps.append(("i3", f"CASE WHEN {cond} THEN {iv} ELSE {prev} END"))
             prev = "i3"
     if "least" in rules:
