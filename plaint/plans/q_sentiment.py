@@ -12,11 +12,20 @@ from .sql_sentiment import (band_sql, label_sql, lookup_ctes, sentiment_ctes,
 from .sql_views import R, with_
 
 LEX = (fx.FIXTURE_LEXICON, fx.FIXTURE_BOOSTERS, fx.FIXTURE_NEGATIONS, fx.FIXTURE_IDIOMS)
-DOCS = "sv_src AS (SELECT doc_id, text FROM documents)"
+# The invented prose hardly ever has the English rule words, so each text ends with one phrase that has: by doc_id
+PHRASES = ("least rewh", "at least orre", "orre but thatin", "never so orre", "without doubt rewh", "kind of ha",
+           "no ed", "the rewh", "VERY ORRE ly THATIN", "very least hehely")
+DOCS = ("sv_src AS (SELECT doc_id, text || ' ' || CASE doc_id % 10 "
+        + " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(PHRASES)) + " END AS text FROM documents)")
+
+
+def _text():
+    phrase = F.element_at(F.array(*[F.lit(p) for p in PHRASES]), (F.col("doc_id") % 10 + 1).cast("int"))
+    return F.concat("text", F.lit(" "), phrase).alias("text")
 
 
 def _docs(spark, sf):
-    return fx.table(spark, sf, "documents").select("doc_id", "text")
+    return fx.table(spark, sf, "documents").select("doc_id", _text())
 
 
 def _score_sql(rules) -> str:
@@ -76,7 +85,7 @@ SELECT d.doc_id, d.lang, s.sent_neg, s.sent_neu, s.sent_pos, s.sent_compound,
 FROM documents d JOIN sv_score s ON s.k = d.doc_id""")
 def q_sentiment_enrich(spark, sf):
     """Sentiment scores, label, band and negative flag attached to every document."""
-    d = fx.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = fx.table(spark, sf, "documents").select("doc_id", "lang", _text())
     return S.enrich(d, "text", key="doc_id", **fx.fixture_lexicons(spark)).drop("text")
 
 
