@@ -37,9 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes the words that a window shared with an earlier document covers; texts that lose none stay as they are."""
-    got = substrings.remove_repeats(docs.select(*COLUMNS), keep_columns=COLUMNS)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
-    return got.select("row.doc_id", text.alias("text"), "row.lang", "row.source", F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars")).cast("long").alias("n_chars"))
+    got = substrings.remove_repeats(docs.select(*COLUMNS), keep_columns=("doc_id", "lang", "source", "n_chars"), as_is=True)
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars")).cast("long")
+    return got.select("row.doc_id", F.col("kept").alias("text"), "row.lang", "row.source", n_chars.alias("n_chars"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

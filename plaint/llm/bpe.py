@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import ChunkEncoder
-from .common import slices, table, texts_of
+from .common import slices, small_batches, table, texts_of
 
 
 class MinimalPerfectHash:
@@ -173,7 +173,7 @@ def encode(df: DataFrame, path: str, pattern: str, with_ids: bool = True) -> Dat
                 cols += [pa.array([np.frombuffer(x, x.typecode).astype(np.int64) for x in ids], pa.list_(pa.int64())), pa.array(decoded, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(cols)])
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>, decoded binary" * with_ids)
 
 

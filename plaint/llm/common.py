@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators: tables in the shared folder, bounded Arrow slices, text rows."""
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +15,7 @@ from plaint.session import ensure_checkpoint_dir
 
 #: Words are runs of anything but these six ASCII white-space characters.
 WHITE = " \t\n\x0b\f\r"
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the rows of a batch between Spark and Python (documents are kilobytes each)."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds at most ``limit`` bytes in a slice (one longer value stands alone)."""
     for batch in batches:
@@ -46,6 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, side="right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
+    give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

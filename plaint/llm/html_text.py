@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import slices, small_batches, table
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -180,7 +180,7 @@ def extract(df: DataFrame, page: str = "html") -> DataFrame:
             texts = [main_text(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["row", "text", "n_chars"])
 
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != page] or [F.lit(None).alias("none")]).alias("row"), F.col(f"`{page}`").cast("string").alias("page"))
+    rows = small_batches(df).select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != page] or [F.lit(None).alias("none")]).alias("row"), F.col(f"`{page}`").cast("string").alias("page"))
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, n_chars long")
 
 

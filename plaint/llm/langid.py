@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import slices, table, texts_of
+from .common import slices, small_batches, table, texts_of
 
 #: Bounds of the training sample: documents per language, characters of each, characters over all languages.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_TOTAL = 32, 1000, 512_000
@@ -194,12 +194,11 @@ def identify(df: DataFrame, sample: dict[str, list[str]], text: str = "text", re
     shared = df.sparkSession.sparkContext.broadcast(sample)
 
     def run(batches):
-        for part in batches:
-            for batch in slices([part], limit=16 << 20):
-                lang, score = _parser(key, shared.value).predict(texts_of(batch))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
+        for batch in slices(batches, limit=4 << 20):
+            lang, score = _parser(key, shared.value).predict(texts_of(batch))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
 
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in returned or df.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = small_batches(df).select(F.struct(*[F.col(f"`{c}`") for c in returned or df.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double")
 

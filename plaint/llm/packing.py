@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .chunks import library_encoder
-from .common import slices, table, texts_of, written
+from .common import slices, small_batches, table, texts_of, written
 
 CAPACITY, END_ID = 4096, 1
 
@@ -137,7 +137,7 @@ def pieces(df: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int =
                 cols.append(pa.array(ids, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(cols, names=["part", "nth", "doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(cols)])
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "part long, nth long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .chunks import library_encoder
-from .common import fresh_folder, qualified, slices, store, table, texts_of
+from .common import fresh_folder, qualified, slices, small_batches, store, table, texts_of
 
 #: Fixed by the format: the reflected Castagnoli polynomial and the mask.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
@@ -129,7 +129,7 @@ def write_records(df: DataFrame, vocabulary: str, end_id: int, folder: str, key:
                 f.write(np.concatenate(index).astype("<u8").tobytes())
             yield pa.RecordBatch.from_pydict({"shard": [shard], "data_path": [f"{folder}/{name}.records"], "index_path": [f"{folder}/{name}.index"], "records": [records], "ids": [ids]}, schema=pa.schema([("shard", pa.int64()), ("data_path", pa.string()), ("index_path", pa.string()), ("records", pa.int64()), ("ids", pa.int64())]))
 
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).repartitionByRange("key").sortWithinPartitions("key")
+    rows = small_batches(df).select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).repartitionByRange("key").sortWithinPartitions("key")
     shards = rows.mapInArrow(run, "shard long, data_path string, index_path string, records long, ids long")
     shards.write.parquet(f"{folder}/shards")
     return spark.read.parquet(f"{folder}/shards")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, texts_of, written
+from .common import slices, small_batches, table, texts_of, written
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -70,7 +70,7 @@ def fingerprints(df: DataFrame, text: str = "text", words: int = SHINGLE_WORDS)
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(simhash(texts_of(batch), words).view(np.int64))], names=["doc_id", "fp"])
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 @functools.lru_cache(1)

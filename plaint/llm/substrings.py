@@ -9,7 +9,6 @@ came before: matching statistics of ``window`` words or more are the maximal spa
 """
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -18,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, texts_of, word_ranges, written
+from .common import slices, small_batches, table, texts_of, word_ranges, written
 
 WINDOW, GRAM = 13, 5
 #: Runs gathered in a task before equal ones are folded.
-FOLD_ROWS = 1_000_000
+FOLD_ROWS = 300_000
 B1, B2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -32,15 +31,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@functools.lru_cache(4)
+_power_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(base^i, base^-i) modulo 2^64."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        x = np.full(size, b, np.uint64)
-        x[0] = 1
-        out.append(np.cumprod(x))
-    return out[0], out[1]
+    """(base^i, base^-i) modulo 2^64 for i < size; one pair of tables a base, grown as needed up to four million entries."""
+    if base not in _power_tables or _power_tables[base][0].size < size:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            x = np.full(size, b, np.uint64)
+            x[0] = 1
+            out.append(np.cumprod(x))
+        if size > 1 << 22:  # a very long text; not kept
+            return out[0], out[1]
+        _power_tables[base] = (out[0], out[1])
+    return _power_tables[base]
 
 
 def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
@@ -119,7 +124,7 @@ def runs(df: DataFrame, window: int = WINDOW) -> DataFrame:
         if n:
             yield _run_batch(*map(np.concatenate, zip(*held)))
 
-    return df.filter("doc_id is not null").mapInArrow(make, RUN)
+    return small_batches(df).filter("doc_id is not null").mapInArrow(make, RUN)
 
 
 def candidates(found: DataFrame) -> DataFrame:
@@ -294,9 +299,9 @@ def spans(df: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.filter("known = 1").select("doc_id", "first", "size").union(search(pieces, window))
 
 
-def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str, ...] = ("doc_id",), as_is: bool = False) -> DataFrame:
     """(row, n_words, n_removed, kept_sha256, kept) for each row of ``df`` (doc_id, text); ``kept`` are the kept words joined by a
-    space, ``row`` is a struct of ``keep_columns``, so that no name can clash.
+    space (with ``as_is`` a text that loses none is returned as it is), ``row`` is a struct of ``keep_columns``, so that no name can clash.
 
     A word is removed if a window of ``window`` words over it also starts in a document with a smaller doc_id; all is judged on
     the input. Null or empty texts have no words. A doc_id stands for one text: rows that repeat an id must repeat the text, and
@@ -305,8 +310,8 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str,
     marked = written(spans(docs, window), "spans").groupBy("doc_id").agg(F.collect_list(F.struct("first", "size")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=4 << 20):
-            n_words, n_removed, kept = [], [], []
+        for batch in slices(batches, limit=2 << 20):
+            n_words, n_removed, digests, kept = [], [], [], []
             for text, got in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 w = (text or "").encode("utf-8", "surrogatepass").split()
                 n_words.append(len(w))
@@ -318,8 +323,10 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str,
                     stay = (np.cumsum(change)[:-1] == 0).tolist()
                     w = [x for x, s in zip(w, stay) if s]
                 n_removed.append(n_words[-1] - len(w))
-                kept.append(b" ".join(w))
-            cols = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string())]
+                joined = b" ".join(w)
+                digests.append(hashlib.sha256(joined).hexdigest())
+                kept.append(text if as_is and len(w) == n_words[-1] else joined.decode("utf-8", "replace"))
+            cols = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["row", "n_words", "n_removed", "kept_sha256", "kept"])
 
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep_columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

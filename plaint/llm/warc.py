@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh_folder, qualified, slices, store, table, written
+from .common import fresh_folder, qualified, slices, small_batches, store, table, written
 
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
@@ -181,7 +181,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     payload = F.coalesce(F.encode(F.col("html").cast("string"), "utf-8"), F.lit(b""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     keyed = rows.select("page_id", "url", "payload", F.unhex(F.sha1("payload")).alias("sha"))
     first = keyed.groupBy("sha").agg(F.min("page_id").alias("first_id"))
 
