@@ -7,58 +7,74 @@ the word behind it. Where a space touches other white space the cut isn't safe,
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from collections.abc import Callable, Iterable
 
-TOUCHING = re.compile(r" \s|\s ")
 TAIL = ".,;:!?*$%&#|<>()[]{}\"-_/\\=+~^@"
 
 
 class ChunkEncoder:
     """Ids as little-endian bytes per text; ``encode_many`` encodes strings, and what it gave for chunks is remembered.
 
-    At most ``most`` chunks are remembered; then the memory starts anew (never the result of a text)."""
+    At most ``most`` chunks are remembered, and half as many that are a word and marks behind it; beyond that either memory
+    starts anew, between calls, so that a call finds all that it learned."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], mode: str, most: int = 800_000):
-        self.encode_many, self.mode, self.most = encode_many, mode, most
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], mode: str, most: int = 600_000):
+        self.encode_many, self.most = encode_many, most
         self.space = " " if mode == "space" else ""
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}  # None: not safe to cut here
+        self.stems: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
 
+    def _unsafe(self, word: str) -> bool:
+        return bool(self.space) and (not word or word[0].isspace() or word[-1].isspace())
+
     def _learn(self, words: Iterable[str], heads: Iterable[str]) -> None:
+        if len(self.known) > self.most // 2:
+            self.known.clear()
+        if len(self.stems) > self.most:
+            self.stems.clear()
+            self.known.clear()
+            self.bare.clear()
         made: list[tuple[str, str, str]] = []
         stems, bare = {}, dict.fromkeys(heads)
         for w in words:
+            if w in self.stems:
+                continue
             stem = w.rstrip(TAIL)
             if len(stem) < len(w) and stem.isalpha():  # the tail is a pre-token of its own
                 made.append((w, stem, w[len(stem):]))
                 stems[stem] = bare[w[len(stem):]] = None
+            elif self._unsafe(w):
+                self.known[w] = None
             else:
                 stems[w] = None
-        stems = [w for w in stems if w not in self.known]
+        stems = [w for w in stems if w not in self.stems]
         bare = [w for w in bare if w not in self.bare]
-        self.known.update(zip(stems, self.encode_many([self.space + w for w in stems])))
+        self.stems.update(zip(stems, self.encode_many([self.space + w for w in stems])))
         self.bare.update(zip(bare, self.encode_many(bare)))
         for w, stem, tail in made:
-            self.known[w] = self.known[stem] + self.bare[tail]
+            self.known[w] = self.stems[stem] + self.bare[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:  # only between calls, so that a call finds all that it learned
-            self.known.clear()
-            self.bare.clear()
-        at = self.known.__getitem__
-        if not self.space:
-            parts = [t.split() for t in texts]
-            self._learn(set().union(*parts).difference(self.known), ())
-            return [b"".join(map(at, p)) for p in parts]
-        whole = [i for i, t in enumerate(texts) if TOUCHING.search(t)]
-        parts = [t.split(" ") for t in texts]
-        for i in whole:
-            parts[i] = [""]
-        heads = [p.pop(0) for p in parts]
-        self._learn(set().union(*parts).difference(self.known), heads)
-        out = [self.bare[h] + b"".join(map(at, p)) for h, p in zip(heads, parts)]
+        parts = [t.split(" ") for t in texts] if self.space else [t.split() for t in texts]
+        heads = [p.pop(0) for p in parts] if self.space else [""] * len(parts)
+        new = set().union(*parts)
+        lacking = new.difference(self.known, self.stems)
+        if len(self.known) > self.most // 2 or len(self.stems) > self.most:
+            lacking = new
+        self._learn(lacking, set(heads))
+        at = {w: self.known[w] if w in self.known else self.stems[w] for w in new}.__getitem__
+        out: list[bytes] = []
+        whole = []
+        for i, (h, p) in enumerate(zip(heads, parts)):
+            try:
+                if p and h and h[-1].isspace():
+                    raise TypeError
+                out.append(self.bare[h] + b"".join(map(at, p)))
+            except TypeError:  # a cut that isn't safe
+                whole.append(i)
+                out.append(b"")
         for i, ids in zip(whole, self.encode_many([texts[i] for i in whole])):
             out[i] = ids
         return out
