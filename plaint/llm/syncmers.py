@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import slices, table, texts_of, written
+from .common import slices, small_batches, table, texts_of, written
 
 K, S, ANCHORS = 12, 4, 64
 
@@ -143,7 +143,7 @@ def fingerprint(df: DataFrame, text: str = "text") -> DataFrame:
         for batch in slices(batches, limit=1 << 20):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([encode_fingerprint(x) for x in fingerprint_many(texts_of(batch))], pa.string())], names=["doc_id", "fingerprint"])
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fingerprint string")
+    return small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
 def edited_pairs(df: DataFrame) -> DataFrame:
@@ -152,8 +152,10 @@ def edited_pairs(df: DataFrame) -> DataFrame:
     Texts are dealt out by ranges of doc_id and sorted, so the next row follows in the same task. A task keeps its first
     and last rows aside; those two per task are tied together afterwards. All comes from one written run, as another run
     might draw other ranges."""
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # texts and fingerprints are large rows: a quarter of the usual data in a task keeps its sort and its writer small
+    tasks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(tasks, F.col("doc_id").desc_nulls_last()).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
     kind = f"{RESULT}, part long, place string, text string"
     names = [x.split()[0] for x in kind.split(", ")]
 
