@@ -5,7 +5,9 @@ is cut into shards that hold together whatever can match. Each window's least 5-
 consecutive windows with one anchor make a run, and equal windows always meet in the shard of their anchor. Runs whose
 anchor only one document has can't match and are dropped first; runs that repeat an earlier one word by word are known
 to match. For the rest a shard streams its runs in ascending order of documents through a suffix automaton of what
-came before: matching statistics of ``window`` words or more are the maximal spans to remove.
+came before: matching statistics of ``window`` words or more are the maximal spans to remove. Runs of an anchor that very
+many share (the edges of a common passage, where each run reaches into its document's own words) are cut into windows,
+each a shard of its own.
 """
 from __future__ import annotations
 
@@ -22,6 +24,10 @@ from .common import slices, small_batches, table, texts_of, word_ranges, written
 WINDOW, GRAM = 13, 5
 #: Runs gathered in a task before equal ones are folded.
 FOLD_ROWS = 300_000
+#: Runs of one anchor that may meet in one automaton; with more, each of their windows is a shard of its own.
+MANY_RUNS = 1000
+#: Windows that a task remembers to tell repeats before the shuffle.
+SEEN_WINDOWS = 100_000
 B1, B2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -242,19 +248,23 @@ class Automaton:
 
 
 def search(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, first, size): spans of windows that a smaller doc_id of the same anchor has; ``pieces`` are (anchor, doc_id, first, words)."""
+    """(doc_id, first, size): spans of windows that a smaller doc_id of the same anchor has; ``pieces`` are (anchor, doc_id, first, words).
+    Null words stand for one window that is known to match."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, doc_here = None, None
-        automaton, later = Automaton(), []
+        automaton, later = Automaton(), {}
         for batch in batches:
             out: list[tuple[int, int, int]] = []
             for anchor, doc, first, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if words is None:
+                    out.append((doc, first, 1))
+                    continue
                 if anchor != here:
-                    here, doc_here, automaton, later = anchor, doc, Automaton(), []
+                    here, doc_here, automaton, later = anchor, doc, Automaton(), {}
                 elif doc != doc_here:  # a document is reference only for later ones
-                    for x in later:
+                    for x in later.values():
                         automaton.add(x)
-                    doc_here, later = doc, []
+                    doc_here, later = doc, {}
                 symbols = words.split(" ")
                 got = automaton.matches(symbols, window)
                 for k in got:
@@ -263,7 +273,7 @@ def search(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
                     else:
                         out.append((doc, first + k, 1))
                 if len(got) < len(symbols) - window + 1:
-                    later.append(symbols)
+                    later[words] = symbols
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], names=["doc_id", "first", "size"])
@@ -277,13 +287,31 @@ def _words(text: str) -> list[str]:
 
 
 def _cut_pieces(joined: DataFrame, window: int) -> DataFrame:
-    """(anchor, doc_id, first, words) for the runs of each text."""
+    """(anchor, doc_id, first, words) for the runs of each text.
+
+    A run with ``many`` is cut into windows, each with a hash of all its words as its anchor, so that equal windows meet whatever runs
+    they are in. A window that this task has seen in a smaller doc_id, word by word, goes on without words: known to match, spread evenly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}  # window -> least doc_id
         for batch in slices(batches, limit=2 << 20):
             out: list[tuple] = []
             for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 w = _words(text or "")
-                out += [(x["anchor"], doc, x["first"], " ".join(w[x["first"]: x["first"] + x["size"] + window - 1])) for x in found]
+                for x in found:
+                    anchor, first, size = x["anchor"], x["first"], x["size"]
+                    if not x["many"]:
+                        out.append((anchor, doc, first, " ".join(w[first: first + size + window - 1])))
+                        continue
+                    for k in range(first, first + size):
+                        words = " ".join(w[k: k + window])
+                        if seen.get(words, doc) < doc:
+                            out.append((hash((doc, k)), doc, k, None))
+                            continue
+                        if len(seen) >= SEEN_WINDOWS:
+                            seen.clear()
+                        seen[words] = doc
+                        digest = hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                        out.append((int.from_bytes(digest, "little", signed=True), doc, k, words))
             if out:
                 a, d, f, x = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(d, pa.int64()), pa.array(f, pa.int32()), pa.array(x, pa.string())], names=["anchor", "doc_id", "first", "words"])
@@ -291,12 +319,20 @@ def _cut_pieces(joined: DataFrame, window: int) -> DataFrame:
     return joined.select("doc_id", "text", "found").mapInArrow(run, "anchor long, doc_id long, first int, words string")
 
 
+def _pieces(df: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """The pieces to search for the ``found`` runs that may match in part."""
+    partly = found.filter("known = 0")
+    # at most one row per MANY_RUNS runs
+    many = partly.groupBy("anchor").count().filter(F.col("count") > MANY_RUNS).select("anchor", F.lit(True).alias("many"))
+    partly = partly.join(F.broadcast(many), "anchor", "left").withColumn("many", F.col("many").isNotNull())
+    per_text = partly.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "first", "size", "many")).alias("found"))
+    return _cut_pieces(df.join(per_text, "doc_id"), window)
+
+
 def spans(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, first, size): every span of windows (numbers of their first words) that a document with a smaller id has too."""
     found = written(candidates(runs(df, window)), "candidates")
-    partly = found.filter("known = 0").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "first", "size")).alias("found"))
-    pieces = _cut_pieces(df.join(partly, "doc_id"), window)
-    return found.filter("known = 1").select("doc_id", "first", "size").union(search(pieces, window))
+    return found.filter("known = 1").select("doc_id", "first", "size").union(search(_pieces(df, found, window), window))
 
 
 def remove_repeats(df: DataFrame, window: int = WINDOW, keep_columns: tuple[str, ...] = ("doc_id",), as_is: bool = False) -> DataFrame:

@@ -237,6 +237,25 @@ def test_removed_words_equal_brute_force(spark, batch):
     assert {r.doc_id: tuple(r)[1:] for r in got} == want and sum(v[1] for v in want.values())
 
 
+def test_common_passage_inside_unique_texts(spark, monkeypatch):
+    """The runs at a passage's edges reach into each document's own words and share an anchor: they may not all meet in one automaton."""
+    n, passage = 100_000, " ".join(f"p{i}" for i in range(30))
+    own = [F.concat_ws("x", F.lit(side), F.col("doc_id"), F.lit(i)) for side in "ab" for i in range(15)]
+    df = spark.range(n, numPartitions=8).withColumnRenamed("id", "doc_id").withColumn("text", F.concat_ws(" ", *own[:15], F.lit(passage), *own[15:]))
+    seen, search = [], substrings.search
+    monkeypatch.setattr(substrings, "search", lambda pieces, *a: search(seen.append(written(pieces, "pieces")) or seen[-1], *a))
+    got = substrings.remove_repeats(df).groupBy("n_removed", "n_words").agg(F.count("*").alias("n"), F.min("row.doc_id").alias("least")).collect()
+    assert sorted(map(tuple, got)) == [(0, 60, 1, 0), (30, 60, n - 1, 1)]
+    assert seen[0].groupBy("anchor").count().agg(F.max("count")).first()[0] <= 1000
+
+
+@pytest.mark.parametrize("many", [0, 3])
+def test_windows_of_crowded_anchors_equal_brute_force(spark, monkeypatch, many):
+    monkeypatch.setattr(substrings, "MANY_RUNS", many, raising=False)
+    monkeypatch.setattr(substrings, "SEEN_WINDOWS", 50, raising=False)
+    test_removed_words_equal_brute_force(spark, 5 + many)
+
+
 def test_substring_edges(spark, edges, nothing):
     rows = substrings.remove_repeats(edges).select("row.doc_id", "n_words", "n_removed", "kept").collect()
     assert len(rows) == len(EDGES) and all(r.n_removed == 0 for r in rows)
