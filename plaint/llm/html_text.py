@@ -1,9 +1,10 @@
 """Main text of web pages by tag-path ratios.
 
 A page's blocks of text are grouped by their root-to-leaf tag path (block-level tags with their classes). Each path
-gets its text length and its punctuation per node; both are smoothed along the page and multiplied, and paths above
-the scores' standard deviation are content. The containers of those paths then contribute all their blocks, so short
-paragraphs and headings of the article stay; navigation, notices, forms, comments and the like never do.
+gets its text length and its punctuation per node; both are smoothed along the page and multiplied, article and main
+elements count double, and paths above the scores' standard deviation are content. The containers of those paths then
+contribute their blocks, so short paragraphs and headings of the article stay; parts of a main element without such
+a path don't, and navigation, notices, forms, comments and the like never do.
 """
 from __future__ import annotations
 
@@ -36,6 +37,11 @@ OUT_NAMES = frozenset(
     "promotion recommended related replies reply respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe toolbar "
     "topbar widget widgets".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
+#: Within main, these are parts that need a content path, unless the text is in one of KEPT_PARTS.
+PARTS = frozenset("div section article".split())
+KEPT_PARTS = frozenset("table pre blockquote figure dl".split())
+#: What a path's score counts for within an article or main element.
+WEIGHT = 2.0
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -142,31 +148,50 @@ def _smooth(x: np.ndarray) -> np.ndarray:
 def main_text(page: str | None) -> str:
     """The page's main text: its content blocks in page order, one a line; empty if there is none. Null counts as empty."""
     blocks = [b for b in blocks_of(page or "") if not b.out]
-    inside = [b for b in blocks if any(x.partition(".")[0] in ("article", "main") for x in b.path)]
-    blocks = inside or blocks
     if not blocks:
         return ""
     order: dict[tuple[str, ...], int] = {}
     for b in blocks:
         order.setdefault(b.path, len(order))
-    length, marks, nodes = np.zeros(len(order)), np.zeros(len(order)), np.zeros(len(order))
-    for b in blocks:
-        k = order[b.path]
-        length[k] += max(0, len(b.text) - b.links)
-        marks[k] += len(PUNCTUATION.findall(b.text)) if b.links < len(b.text) else 0
-        nodes[k] += 1
-    fused = _smooth(length / nodes) * _smooth((marks + 1) / nodes) * np.log1p(length)
-    chosen = fused >= min(fused.std(), fused.max())
-    paths = list(order)
-    roots = {p[: _depth(p)] for p, ok in zip(paths, chosen) if ok}
-    kept = [b for b in blocks if any(b.path[: len(r)] == r for r in roots) and not (b.links and b.links >= 0.8 * len(b.text) and len(b.path) and b.path[-1].partition(".")[0] in ("li", "ul", "ol", "div", "td"))]
+    at = np.array([order[b.path] for b in blocks])
+    nodes = np.bincount(at)
+    length = np.bincount(at, [max(0, len(b.text) - b.links) for b in blocks])
+    marks = np.bincount(at, [len(PUNCTUATION.findall(b.text)) if b.links < len(b.text) else 0 for b in blocks])
+    along = [np.bincount(at, _smooth((x / nodes)[at])) / nodes for x in (length, marks + 1)]
+    weight = np.array([WEIGHT if any(_tag(x) in ("article", "main") for x in p) else 1.0 for p in order])
+    fused = along[0] * along[1] * np.log1p(length) * weight
+    content = [p for p, ok in zip(order, fused >= min(fused.std(), fused.max())) if ok]
+    roots = {p[: _depth(p)] for p in content}
+    parents = {p[:-1] for p in content}
+    above = {p[:k] for p in content for k in range(len(p) + 1)}
+    stays = {p: _stays(p, roots, parents, above) for p in order}
+    kept = [b for b in blocks if stays[b.path] and not (b.links and b.links >= 0.8 * len(b.text) and len(b.path) and _tag(b.path[-1]) in ("li", "ul", "ol", "div", "td"))]
     return "\n".join(b.text for b in kept)
 
 
+def _tag(label: str) -> str:
+    return label.partition(".")[0]
+
+
+def _stays(path: tuple[str, ...], roots: set[tuple[str, ...]], parents: set[tuple[str, ...]], above: set[tuple[str, ...]]) -> bool:
+    """Whether a path belongs to a content container: ``parents`` hold content blocks, ``above`` are all content paths and those of the elements around them."""
+    k = next((k for k in range(len(path) + 1) if path[:k] in roots), None)
+    if k is None:
+        return False
+    if k and _tag(path[k - 1]) == "main":
+        for j in range(k, len(path)):
+            if path[: j + 1] in above:
+                if _tag(path[j]) == "article" or path[: j + 1] in parents:
+                    return True
+            elif _tag(path[j]) in PARTS:
+                return any(_tag(x) in KEPT_PARTS for x in path[j:])
+    return True
+
+
 def _depth(path: tuple[str, ...]) -> int:
     """How much of a content path is its container: up to the article or main element, else up to the block's parent."""
     for k, x in enumerate(path):
-        if x.partition(".")[0] in ("article", "main"):
+        if _tag(x) in ("article", "main"):
             return k + 1
     return max(0, len(path) - 1)
 

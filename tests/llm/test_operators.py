@@ -504,6 +504,21 @@ def test_boilerplate_of_other_pages():
     assert html_text.main_text("<p>open <b>x <i a='>' b") == "open x"
 
 
+PROSE = [f"Paragraph {i} of the text says a few things, at some length, and then it stops; the next one goes on about it all." for i in range(6)]
+
+
+def test_tag_paths_choose_the_container():
+    """Text beside teasers in article elements, and boilerplate of no known name within main."""
+    text = "".join(f"<p>{x}</p>" for x in PROSE)
+    cards = "".join(f"<article class='card'><h3>Teaser {i}</h3><p>Read on here.</p></article>" for i in range(8))
+    for page in (f"<div class='post'><h1>Head</h1>{text}</div><div class='more'>{cards}</div>", f"<div class='more'>{cards}</div><div class='post'><h1>Head</h1>{text}</div>"):
+        assert html_text.main_text(f"<body><ul><li><a href='/'>Home</a></li></ul>{page}</body>") == "\n".join(["Head", *PROSE])
+    page = f"<main><h1>Head</h1><div class='x1'><p>Sign up today</p></div><div class='text'><h2>Part</h2>{text}<ul><li>item</li></ul></div><div class='x2'>Tell a friend</div></main>"
+    assert html_text.main_text(page) == "\n".join(["Head", "Part", *PROSE, "item"])
+    page = f"<main><article><h1>Head</h1>{text}<div>A short note.</div></article><div class='more'>{cards}</div></main>"
+    assert html_text.main_text(page) == "\n".join(["Head", *PROSE, "A short note."])
+
+
 def test_page_edges(spark):
     rows = [(None, None, None), (1, "u", ""), (1, "u", ""), (2, "v", "<p>" + "long text. " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("page", F.lit(1))
