@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches, table
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""(?<!\S)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\s(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCKS = frozenset(
@@ -36,6 +36,18 @@ OUT_NAMES = frozenset(
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "promotion recommended related replies reply respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe toolbar "
     "topbar widget widgets".split())
+#: Last words of names that say only what kind of box a listed first word has.
+BOX_NAMES = frozenset(
+    "area bar block body box button buttons col column container content form group holder icon icons inner item items link links list outer overlay panel "
+    "post posts row section slot stories text top unit wrap wrapper zone".split())
+#: First words of names that say what an element or its page has or lacks, not what it is.
+STATES = frozenset("has have no not non with without is show hide hides enable disable can".split())
+#: Names that no main text has, however short it is beside them.
+SURE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adsense breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
+    "gdpr nav navbar navigation pagination replies reply respond sponsor sponsored".split())
+#: For any other name, a larger share of the page's unlinked text isn't excluded.
+NAME_SHARE = 0.5
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 #: Within main, these are parts that need a content path, unless the text is in one of KEPT_PARTS.
 PARTS = frozenset("div section article".split())
@@ -53,10 +65,21 @@ class Block:
         self.path, self.text, self.links, self.out = path, text, links, out
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """(the tag's name in paths, whether its text is never content)."""
+def _listed(token: str) -> str | None:
+    """The listed name that a class or id stands for: it is the whole of it, its last word, or its first word before a kind of box."""
+    words = [x.lower() for x in NAME_PARTS.findall(token)]
+    if not words or words[0] in STATES:
+        return None
+    if words[-1] in OUT_NAMES:
+        return words[-1]
+    return words[0] if words[0] in OUT_NAMES and words[-1] in BOX_NAMES else None
+
+
+def _label(tag: str, attributes: str) -> tuple[str, bool, str | None]:
+    """(the tag's name in paths, whether its text is never content, the listed name that it has)."""
     out = tag in OUT_TAGS
     label = tag
+    listed = None
     if attributes:
         for name, a, b, c in ATTRIBUTE.findall(attributes):
             value = a or b or c
@@ -66,15 +89,18 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
             if name.lower() == "class":
                 label += "." + ".".join(value.split())
             if tag not in ("html", "body", "main", "article"):
-                out = out or any(x.lower() in OUT_NAMES for x in NAME_PARTS.findall(value))
+                names = [x for x in map(_listed, value.split()) if x]
+                listed = next((x for x in names if x in SURE_NAMES), names[0] if names else listed)
         out = out or HIDDEN.search(attributes) is not None
-    return label, out
+    return label, out, listed
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of text in order; white space within one is a single space, character references are decoded."""
     found: list[Block] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]
+    stack: list[tuple[str, str, bool, tuple[int, ...]]] = [("", "", False, ())]
+    names: list[str] = []  # of the elements with a listed name
+    within: list[tuple[int, ...]] = []  # of each block, the numbers of those around it
     path: tuple[str, ...] = ()
     parts: list[str] = []
     inline_out: list[str] = []  # open inline elements whose text is never content
@@ -86,6 +112,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 found.append(Block(path, text, linked, stack[-1][2]))
+                within.append(stack[-1][3])
             parts.clear()
         linked = 0
 
@@ -124,19 +151,38 @@ def blocks_of(page: str) -> list[Block]:
                     while len(stack) > 1 and stack[-1][0] in ends:
                         stack.pop()
                     if tag not in EMPTY and not (attributes or "").rstrip().endswith("/"):
-                        label, out = _label(tag, attributes)
-                        stack.append((tag, label, out or stack[-1][2]))
+                        label, out, listed = _label(tag, attributes)
+                        around = stack[-1][3]
+                        if listed:
+                            names.append(listed)
+                            around += (len(names) - 1,)
+                        stack.append((tag, label, out or stack[-1][2], around))
                 path = tuple(x[1] for x in stack[1:])
-            elif not closing and tag not in EMPTY and attributes and _label(tag, attributes)[1]:
+            elif not closing and tag not in EMPTY and attributes and any(_label(tag, attributes)[1:]):
                 inline_out.append(tag)
             elif closing and inline_out and tag == inline_out[-1]:
                 inline_out.pop()
         match = TOKEN.search(page, at)
     add(page[at:])
     end_block()
+    if names:
+        _exclude_named(found, within, names)
     return found
 
 
+def _exclude_named(blocks: list[Block], within: list[tuple[int, ...]], names: list[str]) -> None:
+    """Marks the blocks in elements with a listed name as out, unless the element has most of the page's unlinked text (all of it, for a sure name)."""
+    size = [0 if b.out else max(0, len(b.text) - b.links) for b in blocks]
+    share = [0] * len(names)
+    for n, around in zip(size, within):
+        for k in around:
+            share[k] += n
+    total = sum(size)
+    out = [x <= NAME_SHARE * total or name in SURE_NAMES and x < total for x, name in zip(share, names)]
+    for b, around in zip(blocks, within):
+        b.out = b.out or any(out[k] for k in around)
+
+
 def _smooth(x: np.ndarray) -> np.ndarray:
     """Gaussian smoothing with one neighbour on either side."""
     if x.size < 3:
@@ -165,8 +211,12 @@ def main_text(page: str | None) -> str:
     parents = {p[:-1] for p in content}
     above = {p[:k] for p in content for k in range(len(p) + 1)}
     stays = {p: _stays(p, roots, parents, above) for p in order}
-    kept = [b for b in blocks if stays[b.path] and not (b.links and b.links >= 0.8 * len(b.text) and len(b.path) and _tag(b.path[-1]) in ("li", "ul", "ol", "div", "td"))]
-    return "\n".join(b.text for b in kept)
+    linked, size = np.bincount(at, [b.links for b in blocks]), np.bincount(at, [len(b.text) for b in blocks])
+    articles = {p[: k + 1] for p in content for k, x in enumerate(p) if _tag(x) == "article"}
+    for k, p in enumerate(order):  # lists of links, but not those of the article
+        if p and linked[k] >= 0.8 * size[k] and _tag(p[-1]) in ("li", "ul", "ol", "div", "td") and not any(p[:j] in articles for j in range(1, len(p) + 1)):
+            stays[p] = False
+    return "\n".join(b.text for b in blocks if stays[b.path])
 
 
 def _tag(label: str) -> str:

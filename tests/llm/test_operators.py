@@ -519,6 +519,21 @@ def test_tag_paths_choose_the_container():
     assert html_text.main_text(page) == "\n".join(["Head", *PROSE, "A short note."])
 
 
+def test_names_and_links_that_are_text():
+    """Names that only contain a listed word, attributes that only end like class or id, and links that are the article's."""
+    text, want = "".join(f"<p>{x}</p>" for x in PROSE), "\n".join(PROSE)
+    for a in ("class='content has-sidebar'", "id='page' class='no-header'", "class='social-policy'", "data-id='widget'", "data-role='navigation'", "data-class='nav'", "class='widget'"):
+        assert html_text.main_text(f"<body><div {a}>{text}</div><div class='sidebar'><p>Buy this, and that.</p></div></body>") == want
+        assert html_text.main_text(f"<article>{text}<section {a}><p>More of it.</p></section></article>") == want + ("" if a == "class='widget'" else "\nMore of it.")
+    for a in ("class='main-nav'", "id='cookie-notice'", "class='ad-slot'", "id='siteFooter'", "class='x related-posts'", "class='comments'"):
+        assert html_text.main_text(f"<body><article>{text}<div {a}><p>Buy this, and that.</p></div></article></body>") == want
+    assert html_text.main_text(f"<body><div class='post'>{text}</div><div id='comments'>{text * 5}</div></body>") == want
+    links = "<ul><li><a href='a'>First source</a></li><li><a href='b'>Second source</a></li></ul><table><tr><td><a href='c'>Cell</a></td></tr></table>"
+    assert html_text.main_text(f"<article>{text}{links}</article><ul><li><a href='/'>Home</a></li></ul>") == want + "\nFirst source\nSecond source\nCell"
+    items = "<ul><li><a href='a'>One source</a></li><li>An item without any link, of some length</li></ul>"
+    assert html_text.main_text(f"<body><div class='post'>{text}{items}</div></body>") == want + "\nOne source\nAn item without any link, of some length"
+
+
 def test_page_edges(spark):
     rows = [(None, None, None), (1, "u", ""), (1, "u", ""), (2, "v", "<p>" + "long text. " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("page", F.lit(1))
