@@ -51,6 +51,17 @@ def test_clean_documents_stay(spark, steps):
     assert clean.join(steps[2], "doc_id", "left_semi").count() >= 0.98 * clean.count()
 
 
+def test_short_and_close_documents_stay_after_language_id(spark):
+    """Labelled documents cut to one to ten words, and a language that is there under two labels."""
+    docs = table(spark, SF, "documents").filter(F.col("text").rlike(r"\p{L}"))
+    word = F.filter(F.split("text", r"\s+"), lambda w: w.rlike(r"\p{L}"))
+    short = docs.filter(F.col("lang").isNotNull()).withColumn("n", F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, 5, 10)])))
+    short = short.withColumn("text", F.array_join(F.slice(word, 1, F.col("n")), " ")).withColumn("doc_id", F.col("doc_id") * 100 + F.col("n") + 10**6)
+    twice = docs.filter("lang = 'en'").withColumn("lang", F.lit("en2")).withColumn("doc_id", F.col("doc_id") + 10**9)
+    mixed = written(docs.unionByName(short.drop("n")).unionByName(twice), "mixed")
+    assert mixed.filter("lang = 'en2'").count() and ids(cp.language(spark, mixed, SF)) == ids(mixed)
+
+
 def test_edge_rows_go_through_every_stage(spark):
     rows = [(None, "word " * 3, "en", None, 15), (1, None, None, "s", None), (2, "", "en", "s", 0), (3, "Some words of a short text that nothing else says today", "en", "s", 5)] * 2
     edge = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("extra", F.lit(1)).withColumn("score", F.lit("clash"))
