@@ -30,10 +30,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each SimHash component; documents without doc_id belong to none and stay."""
-    got = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.select(*COLUMNS).filter("doc_id is not null").join(got, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*COLUMNS).unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    """Keeps one document of each SimHash component: that with the smallest doc_id, or one without doc_id if none has any."""
+    return simhash.one_per_component(docs.select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,13 +64,14 @@ def simhash(texts: list[str], words: int = SHINGLE_WORDS) -> np.ndarray:
     return out
 
 
-def fingerprints(df: DataFrame, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp long) of each row of ``df`` (columns ``doc_id`` and ``text``; others are not looked at). Null text: no words."""
+def fingerprints(df: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, key: str = "doc_id") -> DataFrame:
+    """(``key``, fp long) of each row of ``df`` (columns ``key`` and ``text``; others are not looked at). Null text: no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(simhash(texts_of(batch), words).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(simhash(texts_of(batch), words).view(np.int64))], names=[key, "fp"])
 
-    return small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id") if key == "doc_id" else F.col(key), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, fp long")
 
 
 @functools.lru_cache(1)
@@ -240,14 +241,32 @@ def near_duplicates(df: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_B
     A component's id is its smallest non-null doc_id (null only if it has none); repeated rows stay repeated. Only
     distinct fingerprints are keyed and compared, so thousands of copies count once."""
     docs = written(fingerprints(df, words=words), "fingerprints")
-    distinct = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    comp = written(components(links(distinct, bits)), "components")
-    # only fingerprints with links have a root; the others stand for themselves
-    rooted = distinct.join(comp, distinct["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), bits)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return docs.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(distinct: DataFrame, bits: int) -> DataFrame:
+    """(fp, least, root) of distinct fingerprints (fp, least); a component has one root."""
+    distinct = written(distinct, "distinct")
+    comp = written(components(links(distinct, bits)), "components")
+    # only fingerprints with links have a root; the others stand for themselves
+    return distinct.join(comp, distinct["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def one_per_component(df: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``df`` (doc_id, text and others) without near duplicates: exactly one of each component stays.
+
+    It is the first by (doc_id, nulls last; fingerprint; hash of id and text), so rows without doc_id are judged too, and different
+    texts under one doc_id are told apart. Of rows with equal doc_id and text any one stays."""
+    key = F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))), 256))
+    who = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), key.alias("key"))
+    docs = written(fingerprints(df.select(who.alias("who"), "text"), words=words, key="who"), "fingerprints")
+    rooted = _rooted(docs.groupBy("fp").agg(F.min("who").alias("least")), bits)
+    first = rooted.groupBy("root").agg(F.min(F.struct("least.none", "least.id", "fp", "least.key")).alias("first"))
+    return df.withColumn("_key", key).join(first.select(F.col("first.key").alias("_key")), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     got = near_duplicates(table(spark, sf_dir, "documents"))

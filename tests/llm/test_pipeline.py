@@ -62,6 +62,15 @@ def test_short_and_close_documents_stay_after_language_id(spark):
     assert mixed.filter("lang = 'en2'").count() and ids(cp.language(spark, mixed, SF)) == ids(mixed)
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    """Copies without ids, and two different texts under one id."""
+    one, two, three = (" ".join(f"{p}{i * i}" for i in range(80)) for p in ("alpha", "beta", "gamma"))
+    rows = [(None, one), (None, one), (1, two), (1, three), (1, two), (2, three), (None, three), (7, two)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = [tuple(r) for r in cp.near_dedup(spark, docs, SF).select("doc_id", "text").collect()]
+    assert sorted(got, key=str) == sorted([(None, one), (1, two), (1, three)], key=str)
+
+
 def test_edge_rows_go_through_every_stage(spark):
     rows = [(None, "word " * 3, "en", None, 15), (1, None, None, "s", None), (2, "", "en", "s", 0), (3, "Some words of a short text that nothing else says today", "en", "s", 5)] * 2
     edge = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("extra", F.lit(1)).withColumn("score", F.lit("clash"))
