@@ -5,6 +5,7 @@ from .bpe import op8_bpe
 from .html_text import op10_html
 from .langid import op1_langid
 from .packing import op3_packing
+from .periodic import op11_periodic
 from .quality import op9_quality
 from .records import op6_records
 from .simhash import op4_simhash
@@ -23,4 +24,5 @@ QUERIES = {
     "op8_bpe": (op8_bpe, None),
     "op9_quality": (op9_quality, None),
     "op10_html": (op10_html, None),
+    "op11_periodic": (op11_periodic, None),
 }
