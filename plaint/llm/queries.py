@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .collocations import OP13_SQL, op13_collocations
 from .html_text import op10_html
 from .langid import op1_langid
 from .packing import op3_packing
@@ -25,4 +26,5 @@ QUERIES = {
     "op9_quality": (op9_quality, None),
     "op10_html": (op10_html, None),
     "op11_periodic": (op11_periodic, None),
+    "op13_collocations": (op13_collocations, OP13_SQL),
 }
