@@ -5,6 +5,7 @@ from .bpe import op8_bpe
 from .collocations import OP13_SQL, op13_collocations
 from .html_text import op10_html
 from .langid import op1_langid
+from .linecrf import op12_crf
 from .packing import op3_packing
 from .periodic import op11_periodic
 from .quality import op9_quality
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_quality": (op9_quality, None),
     "op10_html": (op10_html, None),
     "op11_periodic": (op11_periodic, None),
+    "op12_crf": (op12_crf, None),
     "op13_collocations": (op13_collocations, OP13_SQL),
 }
