@@ -278,34 +278,29 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     nodes = words.select(*KEY, "f", F.col("f").alias("f1")).join(totals, "lang")
     limits = totals.withColumn("tau", zero)
     phrases: list[DataFrame] = []
-    expanded: list[DataFrame] = []
     scored: list[DataFrame] = []
     pending = lacking = None
     reach = min_count
     while True:
         # the frontier: counted prefixes, not expanded, whose bound reaches the threshold; the best bounds go first
-        live = nodes.join(limits.select("lang", "tau"), "lang").filter(F.expr("(1000 * n) div f1 >= tau")).drop("tau")
-        for done in expanded:
-            live = live.join(done.select(*KEY), KEY, "left_anti")
-        live = written(live, "frontier")
+        live = written(nodes.join(limits.select("lang", "tau"), "lang").filter(F.expr("(1000 * n) div f1 >= tau")).drop("tau"), "frontier")
         least = live.agg(F.min("f1")).first()[0]
         if least is None and lacking is None:
             break
         if least is not None:
             while reach <= least:
                 reach *= WIDEN
-            chosen = live.filter(F.col("f1") < reach)
-            reach *= WIDEN
-        else:
-            chosen = live
-        expanded.append(chosen)
+        chosen, rest = live.filter(F.col("f1") < reach), live.filter(F.col("f1") >= reach)
+        reach *= WIDEN
         wanted = bitmap_of(lacking) if lacking is not None else Bitmap(np.zeros(0, np.uint64))
         found = count_phrases(corpus, bitmap_of(chosen), wanted, min_count)
         found = found.join(first, ["lang", "w0"]).select(*KEY, "f", "f1", "n", "only_left", "only_right")
-        found = written(reduce(lambda a, b: a.join(b.select(*KEY), KEY, "left_anti"), phrases, found), "phrases")
+        if phrases:  # those that were wanted before
+            found = found.join(reduce(DataFrame.unionByName, phrases).select(*KEY), KEY, "left_anti")
+        found = written(found, "phrases")
         phrases.append(found)
         more = _length() < MAX_WORDS
-        nodes = nodes.unionByName(found.filter(more).select(*nodes.columns))
+        nodes = rest.unionByName(found.filter(more).select(*rest.columns))
         fresh = found.filter(~more | ~(F.col("only_left") | F.col("only_right"))).select(*KEY, "f", "n", "f1")
         pending = fresh if pending is None else pending.select(*fresh.columns).unionByName(fresh)
         known = reduce(DataFrame.unionByName, [p.select(*KEY, "f") for p in phrases], words.select(*KEY, "f"))
@@ -357,5 +352,5 @@ scores AS (
   WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.lang = c.lang AND g.phrase = c.phrase)),
 least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
-FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank FROM least)
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
 WHERE rank <= {TOP}"""
