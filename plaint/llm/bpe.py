@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import ChunkEncoder
-from .common import slices, small_batches, table, texts_of
+from .common import claim, holds, slices, small_batches, table, texts_of
 
 
 class MinimalPerfectHash:
@@ -152,6 +152,12 @@ class BytePairs:
 _loaded: dict[tuple[str, str], BytePairs] = {}
 
 
+@holds("bpe")
+def forget() -> None:
+    for pairs in _loaded.values():
+        pairs.chunks.forget()
+
+
 def byte_pairs(path: str, pattern: str) -> BytePairs:
     if (path, pattern) not in _loaded:
         _loaded[path, pattern] = BytePairs(path, pattern)
@@ -164,6 +170,7 @@ def encode(df: DataFrame, path: str, pattern: str, with_ids: bool = True) -> Dat
     ``decoded`` are the bytes of the ids just made, so its digest differs from the text's if a step were wrong. Null text
     counts as empty (no ids); whole texts are encoded, repeated rows each by themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe")
         pairs = byte_pairs(path, pattern)
         for batch in slices(batches, limit=4 << 20):
             ids = pairs.encode(texts_of(batch))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,27 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def holds(name: str) -> Callable:
+    """Marks a function that empties what workers remember for the operators that claim ``name``."""
+    def mark(forget: Callable[[], None]) -> Callable[[], None]:
+        _held[name] = forget
+        return forget
+    return mark
+
+
+def claim(name: str) -> None:
+    """A task begins to use the memory ``name``: those that other operators left in this worker are emptied.
+
+    Spark's Python workers live on, so without this the memories of a job's operators would add up."""
+    for other, forget in _held.items():
+        if other != name:
+            forget()
+    give_back()
+
+
 def give_back() -> None:
     """Returns freed memory to the system: workers live on for other tasks."""
     pa.default_memory_pool().release_unused()
@@ -68,6 +89,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     give_back()
 
 
+def text_beside(batches: Iterator[pa.RecordBatch], at: int | None) -> Iterator[pa.RecordBatch]:
+    """(row, text): the text is taken out of the struct ``row`` (its field ``at``), so that it is sent once; with None it is there."""
+    for batch in batches:
+        if at is None:
+            yield batch
+        else:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.struct_field(batch.column(0), [at]).cast(pa.string())], names=["row", "text"])
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's values, null as the empty text."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]

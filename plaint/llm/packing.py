@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .chunks import library_encoder
-from .common import slices, small_batches, table, texts_of, written
+from .common import claim, slices, small_batches, table, texts_of, written
 
 CAPACITY, END_ID = 4096, 1
 
@@ -109,6 +109,7 @@ def pieces(df: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int =
     last may be shorter. Null text counts as empty and gives a piece of the end id alone; repeated rows give their pieces
     again; a null doc_id stays null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("chunks")
         encoder, width = library_encoder(vocabulary, "white")
         kind = "<u2" if width == 2 else "<u4"
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)

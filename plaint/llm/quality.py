@@ -18,27 +18,50 @@ SYMBOLS, MIN_WORDS, MAX_REPEAT_PERCENT = "#*$%&|<>", 50, 50
 #: Bound of the labelled sample that the list is learned from.
 SAMPLE_ROWS = 6000
 MAX_RULES, MAX_CONDITIONS, MIN_PRECISION, MIN_COVER = 12, 4, 0.95, 8
-#: Bits of a word position in the packed sort key; the rest is the window's hash. Longer texts would need more than 400 MB.
+#: Bits of a word position in the packed sort key; the rest is the window's hash.
 POSITION_BITS = 27
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_marks", "n_chars_all")
 
 
-def _repeat_words() -> Column:
-    """Words inside 3-word windows that occur twice or more, from the arrays ``_w`` (words) and ``_key`` (sorted packed keys).
+def _words_at(i: Column) -> list[Column]:
+    return [F.get("_w", i + k) for k in range(3)]
 
-    A key is a window's hash bits above its position, so equal windows are neighbours after one primitive sort;
-    neighbours with equal hash bits are compared word by word, so no collision can count."""
-    def start(k: Column) -> Column:
-        return k.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
 
-    def same(a: Column, b: Column) -> Column:
-        words = [F.get("_w", start(a) + i) == F.get("_w", start(b) + i) for i in range(3)]
-        return F.coalesce((F.shiftright(a, POSITION_BITS) == F.shiftright(b, POSITION_BITS)) & words[0] & words[1] & words[2], F.lit(False))
+def _start(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
 
-    found = F.filter("_key", lambda k, i: same(F.get("_key", i - 1), k) | same(k, F.get("_key", i + 1)))
-    return F.sort_array(F.transform(found, start))
+
+def _neighbours() -> Column:
+    """For each of the sorted packed keys ``_key`` (a window's hash bits above its position) against the one before: 0 if the
+    bits differ, 1 if the windows' words are equal, 2 if only the bits are."""
+    def told(k: Column, i: Column) -> Column:
+        before = F.get("_key", i - 1)
+        same = [a == b for a, b in zip(_words_at(_start(before)), _words_at(_start(k)))]
+        return F.when((i == 0) | (F.shiftright(before, POSITION_BITS) != F.shiftright(k, POSITION_BITS)), F.lit(0)).when(same[0] & same[1] & same[2], F.lit(1)).otherwise(F.lit(2))
+
+    return F.transform("_key", told)
+
+
+def _repeated_starts() -> Column:
+    """Starts of the 3-word windows that occur twice or more, from ``_w`` (words), ``_key`` and ``_near`` (see above).
+
+    Equal windows are neighbours after the sort of the primitive keys, unless another window has the same bits; then, and
+    where positions outgrow their bits, the windows are sorted by their words."""
+    equal = F.lit(1)
+    fast = F.transform(F.filter("_key", lambda k, i: (F.get("_near", i) == equal) | (F.coalesce(F.get("_near", i + 1), F.lit(0)) == equal)), _start)
+
+    def repeated(z: Column) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+
+        return F.transform(F.filter(z, lambda x, i: same(F.get(z, i - 1), x) | same(x, F.get(z, i + 1))), lambda x: x["at"])
+
+    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.struct(*[c.alias(x) for c, x in zip(_words_at(i), "abc")], i.alias("at"))))
+    exact = F.get(F.transform(F.array(windows), repeated), F.lit(0))
+    unsure = F.array_contains("_near", 2) | (F.size("_w") >= 1 << POSITION_BITS if POSITION_BITS < 31 else F.lit(False))
+    return F.sort_array(F.when(unsure, exact).otherwise(fast))
 
 
 def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
@@ -52,7 +75,7 @@ def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
     low = F.lit((1 << (63 - POSITION_BITS)) - 1)
     keys = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.shiftleft(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).bitwiseAND(low), POSITION_BITS).bitwiseOR(i.cast("long"))))
     rows = rows.withColumn("_key", F.sort_array(F.coalesce(keys, F.array().cast("array<bigint>"))))
-    rows = rows.withColumn("_at", _repeat_words()).withColumn("_lines", F.filter(F.split("_t", "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != ""))
+    rows = rows.withColumn("_near", _neighbours()).withColumn("_at", _repeated_starts()).withColumn("_lines", F.filter(F.split("_t", "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != ""))
     gaps = F.aggregate(F.sequence(F.lit(1), F.size("_at") - 1), F.lit(0).cast("long"), lambda s, i: s + F.least(F.lit(3), F.get("_at", i) - F.get("_at", i - 1)))
     repeat = F.when(F.size("_at") == 0, F.lit(0).cast("long")).when(F.size("_at") == 1, F.lit(3).cast("long")).otherwise(gaps + 3)
     length = F.length("_t")

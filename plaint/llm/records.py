@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .chunks import library_encoder
-from .common import fresh_folder, qualified, slices, small_batches, store, table, texts_of
+from .common import claim, fresh_folder, qualified, slices, small_batches, store, table, texts_of
 
 #: Fixed by the format: the reflected Castagnoli polynomial and the mask.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
@@ -105,6 +105,7 @@ def write_records(df: DataFrame, vocabulary: str, end_id: int, folder: str, key:
     spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("chunks")
         encoder, width = library_encoder(vocabulary, "space")
         end = np.array([end_id], "<u2" if width == 2 else "<u4").tobytes()
         fs, place = store(folder)

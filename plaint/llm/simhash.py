@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, table, texts_of, written
+from .common import claim, holds, slices, small_batches, table, texts_of, written
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -67,6 +67,7 @@ def simhash(texts: list[str], words: int = SHINGLE_WORDS) -> np.ndarray:
 def fingerprints(df: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, key: str = "doc_id") -> DataFrame:
     """(``key``, fp long) of each row of ``df`` (columns ``key`` and ``text``; others are not looked at). Null text: no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("simhash")
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(simhash(texts_of(batch), words).view(np.int64))], names=[key, "fp"])
 
@@ -110,6 +111,11 @@ def golay() -> tuple[np.ndarray, np.ndarray]:
     return (low.astype(np.int16)[x & 4095] ^ high.astype(np.int16)[x >> 12]), errors
 
 
+@holds("simhash")
+def forget() -> None:
+    golay.cache_clear()
+
+
 def segment_keys(words: np.ndarray) -> np.ndarray:
     """The key indices of 23-bit words: 6 columns, -1 where there are fewer."""
     syndromes, errors = golay()

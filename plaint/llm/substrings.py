@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, table, texts_of, word_ranges, written
+from .common import claim, holds, slices, small_batches, table, texts_of, word_ranges, written
 
 WINDOW, GRAM = 13, 5
 #: Runs gathered in a task before equal ones are folded.
@@ -54,6 +54,11 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return _power_tables[base]
 
 
+@holds("substrings")
+def forget() -> None:
+    _power_tables.clear()
+
+
 def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """A hash of values[start:end] for every range, from sums of one polynomial."""
     power, inverse = _powers(base, 1 << max(1, int(values.size)).bit_length())
@@ -117,6 +122,7 @@ def _run_batch(doc: np.ndarray, anchor: np.ndarray, run: np.ndarray, first: np.n
 def runs(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """The runs of each row of ``df`` (doc_id, text); rows without doc_id are neither reference nor searched."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substrings")
         held: list[tuple] = []
         n = 0
         for batch in slices(batches, limit=1 << 20):

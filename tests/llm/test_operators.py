@@ -65,6 +65,33 @@ def test_cross_parsing_counts_longest_matches():
     assert got.tolist() == [[brute(t, "abab abab cd"), brute(t, "xyz xyz")] for t in texts]
 
 
+def test_letters_without_a_column_walk_alike(monkeypatch):
+    rng = random.Random(8)
+    alphabet = [chr(0x4E00 + k) for k in range(400)]
+    sample = {k: ["".join(rng.choice(part) for _ in range(300)) for _ in range(4)] for k, part in (("a", alphabet[:250]), ("b", alphabet[150:]), ("c", list("abcdef ")))}
+    texts = ["".join(rng.choice(alphabet + list("abc z")) for _ in range(rng.randint(0, 80))) for _ in range(60)] + [sample["a"][0][20:90]]
+    wide = langid.Parser(sample).phrases(texts)[0]
+    for name in ("MIN_COLUMNS", "MAX_COLUMNS"):
+        monkeypatch.setattr(langid, name, 5)
+    narrow = langid.Parser(sample)
+    assert narrow.columns == 5 and np.array_equal(narrow.phrases(texts)[0], wide)
+
+
+def test_two_languages_in_one_large_script(spark):
+    rng = random.Random(2)
+    letters = [chr(0x4E00 + k) for k in range(4000)]
+
+    def text(lang, n):
+        part = letters[:2200] if lang == "x" else letters[1800:]
+        return "".join(part[int(rng.betavariate(1, 3) * len(part))] for _ in range(n))
+
+    rows = [(k, text(k, 400)) for k in ("x", "y") for _ in range(60)] + [("en", "the words of an english text are here again and again")] * 3
+    sample = langid.training_sample(spark.createDataFrame(rows, "lang string, text string"))
+    asked = [(k, text(k, 120)) for k in ("x", "y") for _ in range(100)]
+    got = langid.Parser(sample).predict([t for _, t in asked])[0]
+    assert np.mean([a == k for a, (k, _) in zip(got, asked)]) >= 0.95
+
+
 def test_language_of_held_out_documents(spark):
     got = langid.op1_langid(spark, "/root/testdata/sf0.01").filter("held_out").join(table(spark, "/root/testdata/sf0.01", "documents"), "doc_id")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
@@ -333,10 +360,9 @@ def test_packed_pieces(spark, edges, nothing):
 def test_chunks_give_the_ids_of_whole_texts(spark, docs):
     from tokenizers import Tokenizer
 
-    texts = [t or "" for _, t in EDGES] + [r.text for r in docs.limit(50).collect()] + ["  a  b ", "a\n \nb c's it's", "a \n  b", "<|endoftext|> a<|endoftext|>", "é ́x", "DON'T. x,' 1.5%"]
+    texts = [t or "" for _, t in EDGES] + [r.text for r in docs.limit(50).collect()] + ["  a  b ", "a\n \nb c's it's", "a \n  b", "<|endoftext|> a<|endoftext|>", "<|startoftext|>", "a\x1cb c\x1d", "\x1f", "x\x1e \x1f y", "w" * 5000, "q" * 300 + " r", "é ́x", "DON'T. x,' 1.5%"]
     for name, mode in (("word_bpe_49k.json", "white"), ("byte_bpe_50k.json", "space")):
         t = Tokenizer.from_file(public_tokenizers.path(name))
-        t.encode_special_tokens = True
         encoder, _ = chunks.library_encoder(public_tokenizers.path(name), mode)
         got = encoder.encode(texts)
         assert [np.frombuffer(x, "<u2").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
@@ -540,3 +566,23 @@ def test_page_edges(spark):
     got = html_text.extract(df).select("row.page_id", "text", "n_chars", "row.text").toDF("id", "text", "n", "kept").collect()
     assert len(got) == 4 and {r.kept for r in got} == {"clash"} and max(r.n for r in got) == len(("long text. " * 50_000).strip())
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+COLLIDING = ["a596241 b596241 c596241 x1 a1038393 b1038393 c1038393 x2 a596241 b596241 c596241"]
+
+
+@pytest.mark.parametrize("bits", [27, 59, 3])
+def test_repeats_survive_equal_hash_bits(spark, monkeypatch, bits):
+    """With all but a few hash bits gone (59), and with positions beyond their bits (3), counts stay exact."""
+    monkeypatch.setattr(quality, "POSITION_BITS", bits)
+    rng = random.Random(bits)
+    texts = COLLIDING + [" ".join(f"w{rng.randrange(k)}" for _ in range(rng.randint(0, 60))) for k in (2, 4, 8, 16) for _ in range(12)]
+
+    def brute(text):
+        w = text.split()
+        seen = Counter(tuple(w[i: i + 3]) for i in range(len(w) - 2))
+        return len({i + k for i in range(len(w) - 2) if seen[tuple(w[i: i + 3])] > 1 for k in range(3)})
+
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r.row.doc_id: r.n_repeat_words for r in quality.with_stats(df).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
