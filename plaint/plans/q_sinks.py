@@ -12,6 +12,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 from .registry import query
+from .sql_views import BULK, with_
 
 
 def _dir(spark, name):
@@ -92,16 +93,23 @@ def q_scan_json_hits(spark, sf):
         .agg(F.count(F.lit(1)).alias("rows"), F.count("date_received").alias("dated"))
 
 
-@query("scan_bulk_csv")
+@query("scan_bulk_csv", with_(BULK) + """
+SELECT product, count(*) AS rows, count(date_received) AS dated, count(DISTINCT company) AS companies,
+       count(*) FILTER (WHERE trim(timely) = 'Yes') AS timely, min(date_received) AS first_day
+FROM bulk GROUP BY product""")
 def q_scan_bulk_csv(spark, sf):
-    """Bulk export CSV (header names, quoted multi-line text) read and renamed."""
+    """Bulk export CSV (header names, quoted multi-line text) written, read back by ranges and renamed."""
     from ..schemas import BULK_COLUMN_MAP
     from ..sources.files import read_bulk_csv
     inv = {v: k for k, v in BULK_COLUMN_MAP.items()}
     b = fx.bulk(spark, sf)
     out = b.select(*[F.col(c).cast("string").alias(inv[c]) for c in b.columns if c in inv])
+    # texts of several lines, with quotes and commas, so that records reach over lines and ranges
+    text = inv["complaint_what_happened"]
+    out = out.withColumn(text, F.when(F.col(text) != "", F.concat(F.lit('said "one,\n'), F.col(text), F.lit('"\n\ntwo'))))
     p = _dir(spark, "bulkcsv")
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(p)
     r = read_bulk_csv(spark, p)
-    return r.agg(F.count(F.lit(1)).alias("rows"), F.count("date_received").alias("dated"),
-                 F.count_distinct("company").alias("companies"))
+    return r.groupBy("product").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("date_received").alias("dated"), F.count_distinct("company").alias("companies"),
+        F.count_if(F.trim("timely") == "Yes").alias("timely"), F.min("date_received").alias("first_day"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import API_FIELDS, BULK_COLUMN_MAP, HIT_SCHEMA
+from .csv_ranges import read_records
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
@@ -89,9 +90,13 @@ def source_company_filter(df: DataFrame, company: str, column: str = "company")
 
 def _bulk_raw(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
     """All text columns under their header names and the corrupt line. Every file's header must
-    equal the first one's; a file with another order of columns ends the job instead of swapping them."""
-    reader = spark.read.option("header", "true").option("multiLine", str(multiline).lower()).option("escape", '"')
+    equal the first one's; a file with another order of columns ends the job instead of swapping them.
+
+    ``multiline`` reads by ranges (csv_ranges), so that one file of any size is many tasks."""
+    reader = spark.read.option("header", "true").option("escape", '"')
     names = reader.csv(path).columns
+    if multiline:
+        return read_records(spark, path, names, CORRUPT)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, CORRUPT]])
     return (reader.option("enforceSchema", "false").option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
@@ -102,8 +107,8 @@ def read_bulk_csv(spark: SparkSession, path: str, multiline: bool = True) -> Dat
     mapped columns, rename them, leave out malformed lines (see
     ``count_corrupt_csv``), parse dates safely.
 
-    Multi-line CSV is not splittable: land it once as Parquet (``land_parquet``)
-    from several parts and run every job on the Parquet copy."""
+    With ``multiline`` one large file is read by many tasks; jobs that run often
+    should still land it once as Parquet (``land_parquet``)."""
     raw = _bulk_raw(spark, path, multiline)
     raw = raw.filter(F.col(CORRUPT).isNull())
     present = [h for h in BULK_COLUMN_MAP if h in raw.columns]
