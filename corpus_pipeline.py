@@ -12,15 +12,10 @@ from plaint.llm import langid, packing, quality, simhash, substrings
 from plaint.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: The least share between the two best languages that a text needs. None: short texts and texts in close languages have
-#: shares near zero and are still of the language found.
-MIN_SCORE = 0.0
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learned language, however short or close to another one; only those without letters (``und``) go."""
     got = langid.identify(docs.select(*COLUMNS), langid.training_sample(langid.train_rows(docs)))
-    return got.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
+    return got.filter(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
