@@ -31,7 +31,7 @@ def test_stages_keep_the_columns_of_documents(steps):
 def test_each_stage_does_what_its_operator_decides(spark, steps):
     docs, known, good, one, cut, packed = steps
     got = langid.identify(docs, langid.training_sample(langid.train_rows(docs)))
-    assert ids(known) == sorted(r.doc_id for r in got.filter(f"lang_pred <> 'und' and score >= {cp.MIN_SCORE}").select("row.doc_id").collect())
+    assert ids(known) == sorted(r.doc_id for r in got.filter(f"lang_pred <> 'und'").select("row.doc_id").collect())
     rules = quality.fit(known, table(spark, SF, "labels"))
     stats = quality.with_stats(known).filter(~quality.base_failed() & quality.verdict(rules)).select("row.doc_id")
     assert ids(good) == ids(stats)
