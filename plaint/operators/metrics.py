@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
 from .ranking import global_cumsum, global_row_number
+from .selection import medians
 
 
 def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -99,16 +100,9 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 
 def impute_scale_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: exact median (imputation value), mean and population std."""
-    parts = []
-    for c in cols:
-        parts.append(df.agg(F.lit(c).alias("column"),
-                            rnd(F.percentile(F.col(c).cast("double"), 0.5), 6).alias("median"),
-                            rnd(F.avg(c), 6).alias("mean"),
-                            rnd(F.stddev_pop(c), 6).alias("std")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    middle = medians(df, cols)  # all columns in the same passes, no column's values in one task
+    stats = [F.struct(F.lit(c).alias("column"), rnd(F.lit(middle[c]).cast("double"), 6).alias("median"), rnd(F.avg(c), 6).alias("mean"), rnd(F.stddev_pop(c), 6).alias("std")) for c in cols]
+    return df.agg(*[s.alias(f"s{i}") for i, s in enumerate(stats)]).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
 
 
 def score_parity(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import rnd
 from ..operators import metrics as M
 from ..operators import models as ML
+from ..operators import selection as S
 from ..operators import text as T
 from ..schemas import CHURN_CATEGORICAL, CHURN_NUMERIC
 from ..sources import fixtures as fx
@@ -95,6 +96,20 @@ def q_impute_scale(spark, sf):
     return M.impute_scale_stats(_fact(spark, sf), ["handling_days", "narrative_length", "sent_compound"])
 
 
+_NUMBERS = ("handling_days", "narrative_length", "sent_compound")
+
+
+@query("impute_scale_rows", with_(*scored(LEX), "m AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS m{i}" for i, c in enumerate(_NUMBERS)) + " FROM scored)",
+       "filled AS (SELECT complaint_id, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), m{i}) AS f{i}" for i, c in enumerate(_NUMBERS)) + " FROM scored, m)",
+       "t AS (SELECT " + ", ".join(f"avg(f{i}) AS a{i}, stddev_pop(f{i}) AS s{i}" for i in range(3)) + " FROM filled)")
+       + "SELECT complaint_id, " + ", ".join(f"{R(f'(f{i} - a{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END', 4)} AS {c}_scaled" for i, c in enumerate(_NUMBERS)) + " FROM filled, t")
+def q_impute_scale_rows(spark, sf):
+    """Numeric features with nulls as the exact median, standardised by mean and population deviation."""
+    f = _fact(spark, sf).select("complaint_id", *_NUMBERS)
+    got = S.impute_scale(f, S.fit_impute_scale(f, list(_NUMBERS)))
+    return got.select("complaint_id", *[rnd(F.col(f"{c}_scaled"), 4).alias(f"{c}_scaled") for c in _NUMBERS])
+
+
 @query("ordinal_encode", with_(*scored(LEX)) + """
 SELECT issue, CAST(dense_rank() OVER (ORDER BY issue) - 1 AS INTEGER) AS issue_code FROM (SELECT DISTINCT issue FROM scored) d""")
 def q_ordinal_encode(spark, sf):
