@@ -1,15 +1,14 @@
-"""MLlib models: escalation (text + categorical + numeric -> logistic
-regression) and churn risk (intake-only features -> gradient-boosted trees).
+"""Models: escalation (text + categorical + numeric -> logistic regression) and
+churn risk (intake-only features -> histogram gradient boosting).
 
-Training data flows through MLlib's distributed estimators; evaluation uses
-the exact relational metrics of metrics.py on the held-out split."""
+Features come from the own stages of stages.py, the linear models from MLlib,
+the trees from boosting.py; evaluation uses the exact relational metrics of
+metrics.py on the held-out split."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (CountVectorizer, IDF, Imputer, NGram, OneHotEncoder,
-                                RegexTokenizer, SQLTransformer, StandardScaler,
-                                StopWordsRemover, StringIndexer, VectorAssembler)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from ..schemas import (CHURN_CATEGORICAL, CHURN_LEAKY, CHURN_NUMERIC,
                        ESCALATION_CATEGORICAL, ESCALATION_NUMERIC)
 from . import metrics as M
-from .text import STOP_WORDS
+from .boosting import HistBoost
+from .stages import FillScale, FillScaleModel, LevelIndex, LevelIndexModel, TfidfTerms, TfidfTermsModel
 
 
 def leakage_guard(features: list[str], leaky=CHURN_LEAKY) -> None:
@@ -28,46 +28,23 @@ def leakage_guard(features: list[str], leaky=CHURN_LEAKY) -> None:
 
 
 def text_stages(text: str, max_features: int = 5000, min_df: int = 5) -> list:
-    """tokens (>= 2 word chars) -> stop words -> uni+bi-grams -> counts -> idf."""
-    return [
-        RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[a-z0-9_]{2,}", gaps=False,
-                       toLowercase=True),
-        StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=STOP_WORDS),
-        NGram(n=2, inputCol="_uni", outputCol="_bi"),
-        SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _grams FROM __THIS__"),
-        CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=max_features, minDF=min_df),
-        IDF(inputCol="_tf", outputCol="_text"),
-    ]
+    """Sublinear smoothed L2 TF-IDF of Unicode uni- and bigrams."""
+    return [TfidfTerms(inputCol=text, outputCol="_text", maxFeatures=max_features, minDF=min_df)]
+
 
+def categorical_stages(cols: list[str], one_hot: bool = True, min_frequency: int = 25) -> tuple[list, list[str]]:
+    """One-hot with rare levels pooled and unseen ones all zeros; or alphabetical numbers with -1 for unseen ones. Null is 'Unknown'."""
+    if not one_hot:
+        return [LevelIndex(inputCol=c, outputCol=f"{c}_i", unseen="minus") for c in cols], [f"{c}_i" for c in cols]
+    index = [LevelIndex(inputCol=c, outputCol=f"{c}_i", minFrequency=min_frequency) for c in cols]
+    # the number of unseen levels lies beyond the fitted ones; 'keep' gives it a place of its own, which dropLast drops
+    hot = OneHotEncoder(inputCols=[f"{c}_i" for c in cols], outputCols=[f"{c}_v" for c in cols], handleInvalid="keep", dropLast=True)
+    return [*index, hot], [f"{c}_v" for c in cols]
 
-def categorical_stages(cols: list[str], one_hot: bool = True) -> tuple[list, list[str]]:
-    """Constant-impute 'Unknown'; index (rare levels -> one bucket via
-    minFrequency-like ordering is left to StringIndexer's 'keep'); one-hot."""
-    stages, outs = [], []
-    fill = ", ".join(f"coalesce({c}, 'Unknown') AS {c}_f" for c in cols)
-    stages.append(SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"))
-    for c in cols:
-        stages.append(StringIndexer(inputCol=f"{c}_f", outputCol=f"{c}_i", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        if one_hot:
-            stages.append(OneHotEncoder(inputCol=f"{c}_i", outputCol=f"{c}_v", handleInvalid="keep",
-                                        dropLast=False))
-            outs.append(f"{c}_v")
-        else:
-            outs.append(f"{c}_i")
-    return stages, outs
-
-
-def numeric_stages(cols: list[str], scale: bool = True) -> tuple[list, str]:
-    cast = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_d" for c in cols)
-    stages = [SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__"),
-              Imputer(inputCols=[f"{c}_d" for c in cols], outputCols=[f"{c}_m" for c in cols],
-                      strategy="median", relativeError=0.001),
-              VectorAssembler(inputCols=[f"{c}_m" for c in cols], outputCol="_num_raw")]
-    if scale:
-        stages.append(StandardScaler(inputCol="_num_raw", outputCol="_num", withMean=True, withStd=True))
-        return stages, "_num"
-    return stages, "_num_raw"
+
+def numeric_stages(cols: list[str], scale: bool = True) -> tuple[list, list[str]]:
+    outs = [f"{c}_n" for c in cols]
+    return [FillScale(inputCols=cols, outputCols=outs, scale=scale)], outs
 
 
 def train_escalation(train: DataFrame, label: str = "is_escalated", text: str = "narrative",
@@ -77,7 +54,7 @@ def train_escalation(train: DataFrame, label: str = "is_escalated", text: str =
     nums, num_out = numeric_stages(ESCALATION_NUMERIC)
     n = train.count()
     stages = text_stages(text, max_features) + cats + nums + [
-        VectorAssembler(inputCols=["_text", *cat_out, num_out], outputCol="features"),
+        VectorAssembler(inputCols=["_text", *cat_out, *num_out], outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, maxIter=max_iter,
                            standardization=False),
@@ -98,25 +75,19 @@ def train_text_model(train: DataFrame, label: str = "is_escalated", text: str =
 
 def train_churn(train: DataFrame, label: str = "churn_risk_label", max_iter: int = 300,
                 max_depth: int = 6, step: float = 0.08) -> PipelineModel:
-    """Intake-only features -> gradient-boosted trees; bins for the column with the most levels."""
+    """Intake-only features -> histogram gradient boosting (l2 1.0, at most 31 leaves a tree)."""
     leakage_guard(CHURN_CATEGORICAL + CHURN_NUMERIC)
     cats, cat_out = categorical_stages(CHURN_CATEGORICAL, one_hot=False)
     nums, num_out = numeric_stages(CHURN_NUMERIC, scale=False)
-    filled = train.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in CHURN_CATEGORICAL]).first()
-    bins = max(256, int(1.2 * max(filled)) + 3)  # each level of a category needs a bin
-    stages = cats + nums + [
-        VectorAssembler(inputCols=[*cat_out, num_out], outputCol="features"),
-        GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                      stepSize=step, maxBins=bins, seed=42),
-    ]
-    return Pipeline(stages=stages).fit(train)
+    boost = HistBoost(inputCols=[*cat_out, *num_out], outputCol="_p", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step)
+    return Pipeline(stages=[*cats, *nums, boost]).fit(train)
 
 
 def score(df: DataFrame, model: PipelineModel, out: str) -> DataFrame:
     """P(class 1) for every row."""
     cols = df.columns
     p = model.transform(df)
-    return p.select(*cols, vector_to_array("probability")[1].alias(out))
+    return p.select(*cols, (vector_to_array("probability")[1] if "probability" in p.columns else F.col("_p")).alias(out))
 
 
 def evaluate(scored: DataFrame, score_col: str, label: str, n_train: int) -> DataFrame:
@@ -135,11 +106,29 @@ def evaluate(scored: DataFrame, score_col: str, label: str, n_train: int) -> Dat
                                                     ("n_test", "base_rate", "roc_auc", "pr_auc")])
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """Names of the linear model's features, in the order of its coefficients."""
+    stages = {c: s for s in model.stages for c in ([s.getOutputCol()] if isinstance(s, (TfidfTermsModel, LevelIndexModel)) else [])}
+    names = [f"text__{t}" for t in stages["_text"].terms] or ["text__"]
+    for s in model.stages:
+        if isinstance(s, LevelIndexModel):
+            names += [f"cat__{s.getInputCol()}_{level}" for level in s.names()]
+    for s in model.stages:
+        if isinstance(s, FillScaleModel):
+            names += [f"num__{c}" for c in s.getInputCols()]
+    return names
+
+
 def top_terms(model: PipelineModel, k: int = 20) -> list[tuple[str, float]]:
-    """k largest text coefficients with their terms (the model's weights live
+    """k largest coefficients over all features, with the features' names (the model's weights live
     on the driver already; this reads them, it does not move data)."""
-    cv = next(s for s in model.stages if s.__class__.__name__ == "CountVectorizerModel")
-    lr = model.stages[-1]
-    coefs = lr.coefficients.toArray()[: len(cv.vocabulary)]
-    order = sorted(range(len(coefs)), key=lambda i: (-coefs[i], cv.vocabulary[i]))[:k]
-    return [(cv.vocabulary[i], float(coefs[i])) for i in order]
+    names, coefs = feature_names(model), model.stages[-1].coefficients.toArray()
+    order = sorted(range(len(coefs)), key=lambda i: (-coefs[i], names[i]))[:k]
+    return [(names[i], float(coefs[i])) for i in order]
+
+
+def export_text_model(model: PipelineModel) -> list[tuple[str, float | None, float]]:
+    """(term, idf, coef) of a fitted text model, 5 decimals; the row without idf holds the intercept."""
+    terms, linear = model.stages[0], model.stages[-1]
+    rows = [(t, round(float(i), 5), round(float(c), 5)) for t, i, c in zip(terms.terms, terms.idf, linear.coefficients.toArray())]
+    return [("(intercept)", None, round(float(linear.intercept), 5)), *rows]
