@@ -38,15 +38,9 @@ def _rates(df: DataFrame, digits: int = 4) -> DataFrame:
     })
 
 
-def mis_monthly(df: DataFrame, target: str, target_segment: str = SEGMENT_TARGET) -> DataFrame:
-    """Per (year_month, segment): complaints, timely, relief, narrative, 3 rates.
-
-    One scan with conditional counts, then an unpivot into the two segments
-    (the reference scans each chunk twice). Undated rows are dropped; a
-    segment row exists only where it has complaints."""
-    f = mis_flags(df, target).filter(F.col("year_month").isNotNull())
+def _sums() -> list:
     t = F.col("is_target")
-    g = f.groupBy("year_month").agg(
+    return [
         F.count(F.lit(1)).alias("all_complaints"),
         F.count_if("timely_yes").alias("all_timely"),
         F.count_if("relief").alias("all_relief"),
@@ -55,7 +49,41 @@ def mis_monthly(df: DataFrame, target: str, target_segment: str = SEGMENT_TARGET
         F.count_if(t & F.col("timely_yes")).alias("tgt_timely"),
         F.count_if(t & F.col("relief")).alias("tgt_relief"),
         F.count_if(t & F.col("has_narr")).alias("tgt_narrative"),
-    )
+    ]
+
+
+def mis_rollup(df: DataFrame, target: str) -> DataFrame:
+    """(by_company, year_month, company, sums): months and companies in one scan by grouping sets.
+
+    Write or checkpoint it once; ``monthly_of``, ``league_of`` and ``mis_summary`` read it. Undated rows
+    count for their company and form the month null."""
+    f = mis_flags(df, target).withColumn("company", F.coalesce("company", F.lit("Unknown")))
+    g = f.groupingSets([["year_month"], ["company"]], "year_month", "company")
+    return g.agg(F.grouping("year_month").alias("by_company"), *_sums())
+
+
+def monthly_of(rollup: DataFrame, target_segment: str = SEGMENT_TARGET) -> DataFrame:
+    """The monthly table from a roll-up."""
+    return _segments(rollup.filter((F.col("by_company") == 0) & F.col("year_month").isNotNull()), target_segment)
+
+
+def league_of(rollup: DataFrame, target: str) -> DataFrame:
+    """The league table from a roll-up."""
+    g = rollup.filter(F.col("by_company") == 1)
+    return _league(g.select("company", *[F.col(f"all_{c}").alias(c) for c in ("complaints", "timely", "relief", "narrative")]), target)
+
+
+def mis_monthly(df: DataFrame, target: str, target_segment: str = SEGMENT_TARGET) -> DataFrame:
+    """Per (year_month, segment): complaints, timely, relief, narrative, 3 rates.
+
+    One scan with conditional counts, then an unpivot into the two segments
+    (the reference scans each chunk twice). Undated rows are dropped; a
+    segment row exists only where it has complaints."""
+    f = mis_flags(df, target).filter(F.col("year_month").isNotNull())
+    return _segments(f.groupBy("year_month").agg(*_sums()), target_segment)
+
+
+def _segments(g: DataFrame, target_segment: str) -> DataFrame:
     long = g.select(
         "year_month",
         F.explode(F.array(
@@ -81,6 +109,10 @@ def mis_company(df: DataFrame, target: str) -> DataFrame:
         F.count_if("relief").alias("relief"),
         F.count_if("has_narr").alias("narrative"),
     )
+    return _league(g, target)
+
+
+def _league(g: DataFrame, target: str) -> DataFrame:
     g = _rates(g)
     return company_rank(g).withColumn("is_target", F.upper("company") == F.lit(target.upper()))
 

@@ -55,9 +55,9 @@ SELECT (SELECT CAST(sum(complaints) AS BIGINT) FROM mis_company) AS total_rows_p
        (SELECT count(DISTINCT year_month) FROM mis_monthly) AS months,
        (SELECT max(rank) FROM mis_company WHERE is_target) AS target_rank""")
 def q_mis_summary(spark, sf):
-    """Total rows, companies, months, target rank."""
-    b = fx.bulk(spark, sf)
-    return mis.mis_summary(mis.mis_monthly(b, fx.TARGET_COMPANY), mis.mis_company(b, fx.TARGET_COMPANY))
+    """Total rows, companies, months, target rank, from one scan of the bulk table."""
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
+    return mis.mis_summary(mis.monthly_of(r), mis.league_of(r, fx.TARGET_COMPANY))
 
 
 @query("distinct_companies", _BASE + """

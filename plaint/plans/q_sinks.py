@@ -12,7 +12,9 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 from .registry import query
-from .sql_views import BULK, with_
+from .sql_views import BULK, MIS_COMPANY, MIS_MONTHLY, mis_flags, scored, with_
+
+LEX = (fx.FIXTURE_LEXICON, fx.FIXTURE_BOOSTERS, fx.FIXTURE_NEGATIONS, fx.FIXTURE_IDIOMS)
 
 
 def _dir(spark, name):
@@ -27,13 +29,18 @@ def q_write_scored(spark, sf):
     return spark.read.parquet(p).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("write_mis")
+@query("write_mis", with_(BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY) + """
+SELECT 'monthly' AS mis, year_month || ' ' || segment AS key, complaints, timely_rate, relief_rate, narrative_rate, CAST(NULL AS INTEGER) AS rank FROM mis_monthly
+UNION ALL SELECT 'company', company, complaints, timely_rate, relief_rate, narrative_rate, CAST(rank AS INTEGER) FROM mis_company""")
 def q_write_mis(spark, sf):
-    """Both MIS tables written and read back."""
-    b = fx.bulk(spark, sf)
+    """Both MIS tables written from one scan and read back."""
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
     p = _dir(spark, "mis")
-    sinks.write_mis(mis.mis_monthly(b, fx.TARGET_COMPANY), mis.mis_company(b, fx.TARGET_COMPANY), p)
-    return spark.read.parquet(f"{p}/mis_industry_monthly")
+    sinks.write_mis(mis.monthly_of(r), mis.league_of(r, fx.TARGET_COMPANY), p)
+    shared = ("complaints", "timely_rate", "relief_rate", "narrative_rate")
+    m = spark.read.parquet(f"{p}/mis_industry_monthly").select(F.lit("monthly").alias("mis"), F.concat_ws(" ", "year_month", "segment").alias("key"), *shared, F.lit(None).cast("int").alias("rank"))
+    c = spark.read.parquet(f"{p}/mis_company_benchmark").select(F.lit("company").alias("mis"), F.col("company").alias("key"), *shared, "rank")
+    return m.unionByName(c)
 
 
 @query("write_csv_star")
@@ -60,14 +67,18 @@ def q_write_extract_json(spark, sf):
     return spark.read.json(f"{p}/monthly")
 
 
-@query("load_warehouse")
+@query("load_warehouse", with_(*scored(LEX), BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY) + """
+SELECT 'scored_complaints' AS name, count(*) AS rows, CAST(sum(is_escalated) AS BIGINT) AS total FROM scored
+UNION ALL SELECT 'mis_company_benchmark', count(*), CAST(sum(complaints) AS BIGINT) FROM mis_company
+UNION ALL SELECT 'mis_industry_monthly', count(*), CAST(sum(complaints) AS BIGINT) FROM mis_monthly""")
 def q_load_warehouse(spark, sf):
-    """Curated tables replaced in the catalog as external tables."""
-    b = fx.bulk(spark, sf)
-    p = _dir(spark, "warehouse")
-    name = f"mis_monthly_{uuid.uuid4().hex[:8]}"
-    sinks.load_warehouse({name: mis.mis_monthly(b, fx.TARGET_COMPANY)}, p)
-    return spark.table(f"default.{name}")
+    """The three curated tables replaced in the catalog as external tables, and read from it."""
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
+    tables = {"scored_complaints": (fx.scored_fact(spark, sf), "is_escalated"), "mis_industry_monthly": (mis.monthly_of(r), "complaints"),
+              "mis_company_benchmark": (mis.league_of(r, fx.TARGET_COMPANY), "complaints")}
+    sinks.load_warehouse({k: t for k, (t, _) in tables.items()}, _dir(spark, "warehouse"))
+    got = [spark.table(f"default.{k}").agg(F.lit(k).alias("name"), F.count(F.lit(1)).alias("rows"), F.sum(c).cast("long").alias("total")) for k, (_, c) in tables.items()]
+    return got[0].unionByName(got[1]).unionByName(got[2])
 
 
 @query("refresh_log")
