@@ -3,6 +3,8 @@ lenses, state metrics and the explorer slice. All are grouped aggregates
 (partial + final) or top-k (TakeOrderedAndProject); no row reaches the driver."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +70,14 @@ def rate_by(df: DataFrame, by: str, col: str, top: int = 10, min_n: int = 50) ->
     return g.limit(top).select("label", "n", rnd("_rate", 4).alias("rate"))
 
 
+def report_slices(df: DataFrame) -> DataFrame:
+    """(chart, label, value): what the report's breakdown page draws, the heads of its tables."""
+    counts = [(c, value_counts(df, c, n)) for c, n in (("product", 7), ("issue", 8), ("state", 8), ("sentiment_band", 8))]
+    rates = [(name, rate_by(df, "issue", c, 8)) for name, c in (("escalation_by_issue", "is_escalated"), ("churn_by_issue", "churn_high_risk"))]
+    charts = [t.select(F.lit(name).alias("chart"), "label", F.col(t.columns[-1]).cast("double").alias("value")) for name, t in counts + rates]
+    return reduce(DataFrame.unionByName, charts)
+
+
 def sentiment_by_product(df: DataFrame, top: int = 8) -> DataFrame:
     d = drop_undated(df)
     g = d.groupBy(F.col("product").alias("label")).agg(F.avg("sent_compound").alias("_s"))
@@ -177,11 +187,17 @@ def share_of_total(df: DataFrame, col: str) -> DataFrame:
     return g.withColumn("share", rnd(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
 
 
-def bi_measures(df: DataFrame, dims: list[str]) -> DataFrame:
-    """The BI measure set evaluated under a group-by context."""
+def bi_measures(df: DataFrame, dims: list[str], totals: bool = False) -> DataFrame:
+    """The BI measure set evaluated under a group-by context.
+
+    With ``totals`` one scan also gives every subtotal from the right and the grand total, as a BI tool shows
+    them; ``level`` counts the dims that a row sums over (0: none), since a dim may be null itself."""
     narrated = F.count_if(F.col("has_narrative") == 1)
     total = F.count(F.lit(1))
-    return df.groupBy(*dims).agg(
+    g = df.rollup(*dims) if totals else df.groupBy(*dims)
+    level = [F.bit_count(F.grouping_id()).cast("int").alias("level")] if totals else []
+    return g.agg(
+        *level,
         total.alias("total_complaints"),
         narrated.alias("with_narrative"),
         rnd(safe_rate(narrated, total), 4).alias("narrative_coverage"),
@@ -199,3 +215,19 @@ def bi_measures(df: DataFrame, dims: list[str]) -> DataFrame:
         rnd(safe_rate(F.count_if(F.col("relief_flag") == 1), total), 4).alias("relief_rate"),
         rnd(F.avg("handling_days"), 4).alias("avg_handling_days"),
     )
+
+
+def industry_cards(monthly: DataFrame, league: DataFrame, segment_all: str) -> DataFrame:
+    """One row: the target's rank among companies, industry complaints as the measure sums them (all rows of the
+    monthly table, so the target's count in both segments) and of the whole-industry segment alone."""
+    a = monthly.agg(F.sum("complaints").alias("industry_complaints"),
+                    F.sum(F.when(F.col("segment") == segment_all, F.col("complaints"))).alias("industry_complaints_all"),
+                    F.lit(None).cast("int").alias("industry_rank"))
+    b = league.agg(F.lit(None).cast("long").alias("industry_complaints"), F.lit(None).cast("long").alias("industry_complaints_all"),
+                   F.max(F.when(F.col("is_target"), F.col("rank"))).cast("int").alias("industry_rank"))
+    return a.unionByName(b).agg(*[F.max(c).alias(c) for c in a.columns])
+
+
+def with_cards(df: DataFrame, cards: DataFrame) -> DataFrame:
+    """Report-level cards (one row) beside every row of an aggregated table."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(cards.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")

@@ -331,28 +331,42 @@ def doc_totals(df: DataFrame, key: str, text_col: str, lexicon: DataFrame,
     ).withColumnRenamed(key, "_sk")
 
 
-def _scored(df: DataFrame, key: str, text_col: str, frames: dict, rules) -> DataFrame:
+_TID = "_text_id"
+_NEUTRAL = {"sent_neg": 0.0, "sent_neu": 1.0, "sent_pos": 0.0, "sent_compound": 0.0}
+
+
+def _text_scores(texts: DataFrame, text_col: str, frames: dict, rules) -> DataFrame:
+    """(_TID, four scores) for one row per distinct text."""
     rules = frozenset(rules)
-    # One shuffle, by key: spreads the per-token work over all tasks whatever
-    # the file layout, and leaves both the per-key aggregate and the join back
-    # co-partitioned (no further exchange of the rows).
-    df = df.repartition(key)
-    totals = doc_totals(df, key, text_col, rules=rules, **frames)
-    feats = df.withColumns({
-        "_n": F.size(tokens_column(F.col(text_col))),
-        "_punct": punct_amplifier(F.col(text_col)) if "punct" in rules else F.lit(0.0),
-    })
-    j = feats.join(totals, feats[key].eqNullSafe(totals["_sk"]), "left")
-    out = j.withColumns({c.alias_name: c.expr for c in _finish_cols()})
-    return out.drop("_sk", "_n", "_punct", "_sum", "_pos", "_neg", "_nz")
+    totals = doc_totals(texts, _TID, text_col, rules=rules, **frames)
+    feats = texts.select(_TID, F.size(tokens_column(F.col(text_col))).alias("_n"),
+                         (punct_amplifier(F.col(text_col)) if "punct" in rules else F.lit(0.0)).alias("_punct"))
+    j = feats.join(totals, feats[_TID] == totals["_sk"], "left")
+    return j.select(_TID, *[c.expr.alias(c.alias_name) for c in _finish_cols()])
+
+
+def _scored(df: DataFrame, text_col: str, frames: dict, rules, keep: list[str]) -> DataFrame:
+    """``keep`` columns of every row of df with its scores, each distinct text scored once.
+
+    A text is known by the 128 bits of its digest. Copies collapse in their task before the texts are
+    shuffled; the scores are joined back to the rows by digest, where a text with many rows is split by
+    the adaptive skew join. Rows without text are neutral: their ids match nothing and spread them evenly."""
+    blank = F.length(F.trim(F.coalesce(F.col(text_col), F.lit("")))) == 0
+    hashed = [F.col(c) for c, t in df.dtypes if "map<" not in t and t != "variant"]
+    rows = df.withColumn(_TID, F.when(blank, F.concat(F.lit("blank "), F.xxhash64(*hashed).cast("string")))
+                         .otherwise(F.md5(F.col(text_col))))
+    texts = rows.filter(~blank).groupBy(_TID).agg(F.first(text_col).alias(text_col))
+    scores = _text_scores(texts, text_col, frames, rules)
+    rows = rows.select(*[c for c in keep if c not in _NEUTRAL], _TID)
+    return rows.join(scores, _TID, "left").drop(_TID).fillna(_NEUTRAL)
 
 
 def score_sentiment(df: DataFrame, key: str, text_col: str, lexicon: DataFrame,
                     boosters: DataFrame, negations: DataFrame, idioms: DataFrame,
                     rules=ALL_RULES) -> DataFrame:
-    """(key, sent_neg, sent_neu, sent_pos, sent_compound) for every row of df."""
+    """(key, sent_neg, sent_neu, sent_pos, sent_compound) for every row of df; keys may repeat."""
     frames = dict(lexicon=lexicon, boosters=boosters, negations=negations, idioms=idioms)
-    return _scored(df.select(key, text_col), key, text_col, frames, rules).drop(text_col)
+    return _scored(df.select(key, text_col), text_col, frames, rules, [key])
 
 
 class _Named:
@@ -385,10 +399,9 @@ def _finish_cols() -> list[_Named]:
 def enrich(df: DataFrame, text_col: str, lexicon: DataFrame, boosters: DataFrame,
            negations: DataFrame, idioms: DataFrame, key: str, rules=ALL_RULES) -> DataFrame:
     """Add sent_neg/neu/pos/compound, sentiment_label, sentiment_band, is_negative.
-    ``key`` must identify rows uniquely (null allowed once). One join: the
-    per-text totals are joined straight onto the input rows."""
+    Rows are scored by their text alone, so repeated and null values of ``key`` are fine."""
     frames = dict(lexicon=lexicon, boosters=boosters, negations=negations, idioms=idioms)
-    out = _scored(df, key, text_col, frames, rules)
+    out = _scored(df, text_col, frames, rules, df.columns)
     return out.withColumns({
         "sentiment_label": labels.sentiment_label("sent_compound"),
         "sentiment_band": labels.sentiment_band("sent_compound"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import bi
-from ..operators.clean import clean
+from ..operators.clean import dedup_by_id
 from ..sources import fixtures as fx
 from .registry import query
 from .sql_views import CASES, R, cleaned, with_
@@ -15,7 +15,8 @@ _MONTHLY = """mc AS (SELECT date_trunc('month', CAST(date_received AS DATE)) AS
 
 
 def _fact(spark, sf):
-    return clean(fx.cases(spark, sf))
+    """The feed's days, one row per id: the newest day survives whatever the other columns hold."""
+    return dedup_by_id(fx.cases(spark, sf).select("complaint_id", "date_received"))
 
 
 @query("dim_date", _C + """

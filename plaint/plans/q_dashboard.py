@@ -1,17 +1,21 @@
 """Dashboard extract sections over the scored fact (cases -> clean -> sentiment -> scores)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import rnd
 from ..operators import dashboard as D
-from ..operators import scoring
+from ..operators import mis, scoring, search
+from ..operators.mis import SEGMENT_ALL
 from ..operators.sentiment import sentiment_mix
 from ..sources import fixtures as fx
 from ..schemas import SCORED_COLUMNS
+from ..session import scratch_path
 from .registry import query
-from .sql_views import R, scored, with_
+from .sql_views import BULK, MIS_COMPANY, MIS_MONTHLY, R, mis_flags, scored, with_
 
 LEX = (fx.FIXTURE_LEXICON, fx.FIXTURE_BOOSTERS, fx.FIXTURE_NEGATIONS, fx.FIXTURE_IDIOMS)
 _S = with_(*scored(LEX))
@@ -285,8 +289,7 @@ def q_repair_score_types(spark, sf):
                  F.sum("is_negative").cast("long").alias("negatives"))
 
 
-@q("bi_measures", _S + f"""
-SELECT product, issue, count(*) AS total_complaints, count(*) FILTER (WHERE has_narrative = 1) AS with_narrative,
+_MEASURES = f"""count(*) AS total_complaints, count(*) FILTER (WHERE has_narrative = 1) AS with_narrative,
   {R('count(*) FILTER (WHERE has_narrative = 1) * 1.0 / nullif(count(*), 0)')} AS narrative_coverage,
   count(*) FILTER (WHERE is_escalated = 1) AS escalated,
   {R('count(*) FILTER (WHERE is_escalated = 1) * 1.0 / nullif(count(*), 0)')} AS escalation_rate,
@@ -299,9 +302,50 @@ SELECT product, issue, count(*) AS total_complaints, count(*) FILTER (WHERE has_
   {R('avg(churn_risk_score)')} AS avg_churn_risk_score,
   {R('count(*) FILTER (WHERE timely_flag = 1) * 1.0 / nullif(count(*), 0)')} AS timely_response_rate,
   {R('count(*) FILTER (WHERE relief_flag = 1) * 1.0 / nullif(count(*), 0)')} AS relief_rate,
-  {R('avg(handling_days)')} AS avg_handling_days
-FROM scored GROUP BY product, issue""")
+  {R('avg(handling_days)')} AS avg_handling_days"""
+
+
+@q("bi_measures", _S + f"SELECT product, issue, {_MEASURES} FROM scored GROUP BY product, issue")
 def q_bi_measures(spark, sf):
     """The BI measure set per product x issue."""
     return D.bi_measures(_fact(spark, sf), ["product", "issue"])
 
+
+@q("bi_report", with_(*scored(LEX), BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY) + f"""
+SELECT r.*, CAST((SELECT sum(complaints) FROM mis_monthly) AS BIGINT) AS industry_complaints,
+       CAST((SELECT sum(complaints) FROM mis_monthly WHERE segment = '{SEGMENT_ALL}') AS BIGINT) AS industry_complaints_all,
+       CAST((SELECT max(rank) FROM mis_company WHERE is_target) AS INTEGER) AS industry_rank
+FROM (SELECT product, issue, CAST(grouping(product) + grouping(issue) AS INTEGER) AS level, {_MEASURES}
+      FROM scored GROUP BY ROLLUP (product, issue)) r""")
+def q_bi_report(spark, sf):
+    """The BI measure set per product x issue with subtotals and the grand total, beside the industry cards."""
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
+    cards = D.industry_cards(mis.monthly_of(r), mis.league_of(r, fx.TARGET_COMPANY), SEGMENT_ALL)
+    return D.with_cards(D.bi_measures(_fact(spark, sf), ["product", "issue"], totals=True), cards)
+
+
+_SLICES = (("product", "product", 7), ("issue", "issue", 8), ("state", "state", 8), ("sentiment_band", "sentiment_band", 8))
+
+
+@q("report_slices", _DATED.rstrip() + "".join(f""",
+s{i} AS (SELECT '{name}' AS chart, label, value FROM (SELECT {col} AS label, CAST(count(*) AS DOUBLE) AS value FROM dated GROUP BY 1
+         ORDER BY value DESC, label ASC NULLS LAST LIMIT {n}) x)""" for i, (name, col, n) in enumerate(_SLICES)) + "".join(f""",
+s{i} AS (SELECT '{name}' AS chart, label, {R('r')} AS value FROM (SELECT issue AS label, count(*) AS n, avg({col}) AS r FROM dated GROUP BY 1) x
+         WHERE n >= 50 ORDER BY r DESC, label LIMIT 8)""" for i, name, col in ((4, "escalation_by_issue", "is_escalated"), (5, "churn_by_issue", "churn_high_risk")))
+   + "\n" + " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(6)))
+def q_report_slices(spark, sf):
+    """The charts of the report's breakdown page: the head of each breakdown and risk table."""
+    return D.report_slices(_fact(spark, sf))
+
+
+SEARCH_TERMS = ("the orre", "Thatin", "ha", "charged", "e", "no such words", "rewh th")
+
+
+@q("explorer_search_all", _S + f"""
+SELECT t.term, s.complaint_id FROM scored s, (VALUES {', '.join(f"('{t}')" for t in SEARCH_TERMS)}) t(term)
+WHERE s.has_narrative = 1 AND contains(lower(s.narrative), lower(t.term))""")
+def q_explorer_search_all(spark, sf):
+    """Text search over all narrated cases by a trigram index, several terms at once."""
+    path = scratch_path(spark, f"search_{uuid.uuid4().hex}")
+    search.write_index(_fact(spark, sf).filter(F.col("has_narrative") == 1), "complaint_id", "narrative", path)
+    return search.search(spark, path, list(SEARCH_TERMS)).withColumnRenamed("key", "complaint_id")

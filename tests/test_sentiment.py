@@ -51,3 +51,23 @@ def test_shares_sum_to_one(spark, frames):
     df = spark.createDataFrame([(1, "good and bad and nothing else")], "id long, text string")
     r = score_sentiment(df, "id", "text", **frames).collect()[0]
     assert abs(r.sent_neg + r.sent_neu + r.sent_pos - 1) < 2e-3
+
+
+def test_copies_and_repeated_keys(spark, frames):
+    """A text counts once for each row, whatever keys repeat, and blank texts are neutral."""
+    rows = [(1, "very good"), (1, "very good"), (1, "bad"), (None, "bad"), (None, "bad"), (None, None), (2, ""), (2, " "), (3, "not good")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = sorted(((r.id, r.sent_compound, r.sent_neu) for r in score_sentiment(df, "id", "text", **frames).collect()), key=str)
+    texts = sorted({t for _, t in rows if t is not None})
+    alone = score_sentiment(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text", **frames)
+    one = {texts[r.id]: r for r in alone.collect()}
+    one[None] = one[""]
+    assert got == sorted(((i, one[t].sent_compound, one[t].sent_neu) for i, t in rows), key=str)
+
+
+def test_each_distinct_text_is_scored_once(spark, frames):
+    """With 500 copies of three texts the step that splits tokens gets three rows."""
+    df = spark.range(500).selectExpr("id", "element_at(array('good day', 'not bad', 'very good!'), CAST(id % 3 + 1 AS INT)) AS text")
+    plan = score_sentiment(df, "id", "text", **frames)._jdf.queryExecution().optimizedPlan().toString()
+    explode = plan.index("Generate explode(arrays_zip")
+    assert "Aggregate [_text_id" in plan[explode:]
