@@ -1,18 +1,25 @@
 """Sink queries: each writes to a fresh folder under the shared checkpoint
-folder and reads the result back (rows-only checks)."""
+folder and reads the result back."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import rnd
 from ..operators import bi, mis
+from ..operators import dashboard as D
+from ..operators import extract as X
+from ..operators import metrics as M
 from ..operators.refresh import refresh_log
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
+from .q_alerts import _A, ATTN_Z, HOT_LIFT, HOT_N, HOT_RATE, MIN_MONTHS, MIN_N, SINCE, SPIKE_Z
 from .registry import query
-from .sql_views import BULK, MIS_COMPANY, MIS_MONTHLY, mis_flags, scored, with_
+from .sql_views import BULK, CASES, MIS_COMPANY, MIS_MONTHLY, R, mis_flags, scored, with_
 
 LEX = (fx.FIXTURE_LEXICON, fx.FIXTURE_BOOSTERS, fx.FIXTURE_NEGATIONS, fx.FIXTURE_IDIOMS)
 
@@ -21,7 +28,7 @@ def _dir(spark, name):
     return scratch_path(spark, f"{name}_{uuid.uuid4().hex[:10]}")
 
 
-@query("write_scored")
+@query("write_scored", with_(*scored(LEX)) + "SELECT year, count(*) AS rows FROM scored GROUP BY year")
 def q_write_scored(spark, sf):
     """Scored fact written partitioned by year, read back per year."""
     p = _dir(spark, "scored")
@@ -43,28 +50,75 @@ def q_write_mis(spark, sf):
     return m.unionByName(c)
 
 
-@query("write_csv_star")
+_STAR = {"fact_complaints": "is_escalated", "dim_date": "year", "mis_industry_monthly": "complaints", "mis_company_benchmark_top200": "complaints"}
+
+
+@query("write_csv_star", with_(*scored(LEX), BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY) + """
+SELECT 'fact_complaints' AS name, count(*) AS rows, CAST(sum(is_escalated) AS BIGINT) AS total, min(strftime(date_received, '%Y-%m-%d')) AS first_day FROM scored
+UNION ALL SELECT 'dim_date', count(*), CAST(sum(year(d)) AS BIGINT), min(strftime(d, '%Y-%m-%d'))
+  FROM (SELECT DISTINCT CAST(date_received AS DATE) AS d FROM scored WHERE date_received IS NOT NULL) x
+UNION ALL SELECT 'mis_industry_monthly', count(*), CAST(sum(complaints) AS BIGINT), NULL FROM mis_monthly
+UNION ALL SELECT 'mis_company_benchmark_top200', count(*), CAST(sum(complaints) AS BIGINT), NULL FROM mis_company WHERE rank <= 200""")
 def q_write_csv_star(spark, sf):
-    """Lean fact, date dimension and MIS tables as header CSVs with ISO dates."""
+    """Lean fact, date dimension and MIS tables as header CSVs with ISO dates, all four read back."""
     f = fx.scored_fact(spark, sf)
-    b = fx.bulk(spark, sf)
-    league = mis.mis_company(b, fx.TARGET_COMPANY)
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
     p = _dir(spark, "star")
-    sinks.write_csv_star({"fact_complaints": f.drop("narrative"), "dim_date": bi.dim_date(f),
-                          "mis_industry_monthly": mis.mis_monthly(b, fx.TARGET_COMPANY),
-                          "mis_company_benchmark_top200": league.filter(F.col("rank") <= 200)}, p)
-    return spark.read.option("header", True).csv(f"{p}/dim_date")
-
-
-@query("write_extract_json")
+    sinks.write_csv_star({"fact_complaints": f.drop("narrative"), "dim_date": bi.dim_date(f), "mis_industry_monthly": mis.monthly_of(r),
+                          "mis_company_benchmark_top200": mis.league_of(r, fx.TARGET_COMPANY).filter(F.col("rank") <= 200)}, p)
+    days = {"fact_complaints": F.substring("date_received", 1, 10), "dim_date": F.col("date")}
+    got = [spark.read.option("header", True).csv(f"{p}/{k}").agg(
+        F.lit(k).alias("name"), F.count(F.lit(1)).alias("rows"), F.sum(F.col(c).cast("long")).alias("total"),
+        F.min(days.get(k, F.lit(None).cast("string"))).alias("first_day")) for k, c in _STAR.items()]
+    return reduce(DataFrame.unionByName, got)
+
+
+_BENCH = "year_month >= '1997-01'"
+_FEED = "synthetic case feed"
+
+
+@query("write_extract_json", _A.rstrip() + ",\n" + ",\n".join((BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY)) + f""",
+rg AS (SELECT escalation_score AS s, sum(CASE WHEN is_escalated = 1 THEN 1 ELSE 0 END) AS pos,
+  sum(CASE WHEN is_escalated = 1 THEN 0 ELSE 1 END) AS neg FROM scored WHERE escalation_score IS NOT NULL GROUP BY 1),
+auc AS (SELECT sum(pos * ((cneg - neg) + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc
+  FROM (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS cneg FROM rg) c),
+bd AS (""" + " UNION ALL ".join(f"(SELECT count(*) AS value FROM dated GROUP BY {c} ORDER BY value DESC{f' LIMIT {n}' if n else ''})" for _, c, n in X.BREAKDOWNS) + """),
+rk AS (""" + " UNION ALL ".join(f"(SELECT {R('r')} AS v FROM (SELECT {by} AS label, count(*) AS n, avg({c}) AS r FROM dated GROUP BY 1) g WHERE n >= 50 ORDER BY r DESC, label LIMIT {n})" for _, by, c, n in X.RISKS)
+ + f" UNION ALL (SELECT {R('a')} FROM (SELECT product, avg(sent_compound) AS a FROM dated GROUP BY 1) g ORDER BY a, product LIMIT 8)" + f"""),
+xp AS (SELECT complaint_id FROM dated WHERE has_narrative = 1 ORDER BY greatest(escalation_score, churn_risk_score) DESC, complaint_id LIMIT 700),
+al AS (SELECT severity FROM attention UNION ALL SELECT severity FROM anomalies UNION ALL SELECT severity FROM hotspots
+       UNION ALL SELECT severity FROM (VALUES ('critical'), ('serious'), ('warning')) v(severity)
+       UNION ALL SELECT NULL FROM (SELECT DISTINCT year_month FROM series) y)
+SELECT 'generated_from' AS section, CAST(1 AS BIGINT) AS rows, CAST({len(_FEED)} AS DOUBLE) AS total
+UNION ALL SELECT 'company', 1, length('{fx.TARGET_COMPANY}')
+UNION ALL SELECT 'kpis', 1, count(*) FROM dated
+UNION ALL SELECT 'states_metrics', count(*), sum(n) FROM (SELECT upper(trim(state)) AS st, count(*) AS n FROM dated GROUP BY 1) x WHERE regexp_matches(st, '^[A-Z]{{2}}$')
+UNION ALL SELECT 'monthly', count(*), {R('sum(escalation_rate)', 3)} FROM monthly
+UNION ALL SELECT 'breakdowns', count(*), sum(value) FROM bd
+UNION ALL SELECT 'risk', count(*), {R('sum(v)', 3)} FROM rk
+UNION ALL SELECT 'models', 1, {R('max(roc_auc)', 3)} FROM auc
+UNION ALL SELECT 'industry', count(*), sum(complaints) FROM (SELECT complaints FROM mis_company WHERE rank <= 15 UNION ALL SELECT complaints FROM mis_monthly WHERE {_BENCH}) i
+UNION ALL SELECT 'complaints', count(*), sum(complaint_id) FROM xp
+UNION ALL SELECT 'alerts', count(*), count(severity) FROM al""")
 def q_write_extract_json(spark, sf):
-    """Dashboard sections as JSON lines."""
-    from ..operators import dashboard as D
+    """All eleven dashboard sections as JSON lines, read back: rows and a sum of each."""
     f = fx.scored_fact(spark, sf)
+    r = mis.mis_rollup(fx.bulk(spark, sf), fx.TARGET_COMPANY).checkpoint()
+    auc = M.roc_auc(f, "escalation_score", "is_escalated").select(
+        F.lit("escalation").alias("model"), "roc_auc", *[F.lit(None).cast(t).alias(c) for c, t in (("pr_auc", "double"), ("n_train", "long"), ("n_test", "long"))])
+    limits = {"attention": dict(min_n=MIN_N, min_months=MIN_MONTHS, z_threshold=ATTN_Z), "anomalies": dict(min_n=MIN_N, min_months=MIN_MONTHS, z_threshold=SPIKE_Z, since=SINCE),
+              "hotspots": dict(min_n=HOT_N, min_lift=HOT_LIFT, min_rate=HOT_RATE), "timeline": dict(min_n=MIN_N, min_months=MIN_MONTHS)}
+    sections = X.extract_sections(f, mis.monthly_of(r), mis.league_of(r, fx.TARGET_COMPANY), auc, fx.TARGET_COMPANY, _FEED,
+                                  since="1997-01", alert_limits=limits, trend=D.monthly_trend(f).checkpoint())
     p = _dir(spark, "extract")
-    sinks.write_extract_json({"kpis": D.kpis(f), "monthly": D.monthly_trend(f),
-                              "states_metrics": D.states_metrics(f)}, p)
-    return spark.read.json(f"{p}/monthly")
+    sinks.write_extract_json(sections, p)
+    measure = {"generated_from": F.sum(F.length("value")), "company": F.sum(F.length("value")), "kpis": F.sum("total_complaints"),
+               "states_metrics": F.sum("n"), "monthly": rnd(F.sum("escalation_rate"), 3), "breakdowns": F.sum("value"),
+               "risk": rnd(F.sum(F.coalesce("rate", "avg_sentiment")), 3), "models": rnd(F.sum("roc_auc"), 3), "industry": F.sum("complaints"),
+               "complaints": F.sum("id"), "alerts": F.count("severity")}
+    got = [spark.read.schema(t.schema).json(f"{p}/{k}").agg(F.lit(k).alias("section"), F.count(F.lit(1)).alias("rows"), measure[k].cast("double").alias("total"))
+           for k, t in sections.items()]
+    return reduce(DataFrame.unionByName, got)
 
 
 @query("load_warehouse", with_(*scored(LEX), BULK, mis_flags(), MIS_MONTHLY, MIS_COMPANY) + """
@@ -81,7 +135,7 @@ def q_load_warehouse(spark, sf):
     return got[0].unionByName(got[1]).unionByName(got[2])
 
 
-@query("refresh_log")
+@query("refresh_log", with_(*scored(LEX)) + "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS new_rows, false AS retrained FROM scored")
 def q_refresh_log(spark, sf):
     """A refresh stamp (rows, new rows, retrained) appended to the log table."""
     f = fx.scored_fact(spark, sf)
@@ -91,7 +145,7 @@ def q_refresh_log(spark, sf):
     return spark.read.parquet(p).select("rows", "new_rows", "retrained")
 
 
-@query("scan_json_hits")
+@query("scan_json_hits", with_(CASES) + "SELECT count(*) AS rows, count(date_received) AS dated FROM cases")
 def q_scan_json_hits(spark, sf):
     """API payload files (hits wrapping _source) read with the fixed schema."""
     from ..sources.files import read_cases_json
