@@ -27,11 +27,11 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: lineage ends there, and lost executors cost no rerun."""
     spark = df.sparkSession
     path = fresh_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -74,12 +74,15 @@ def give_back() -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds at most ``limit`` bytes in a slice (one longer value stands alone)."""
+    """The batches cut so that ``column`` holds at most ``limit`` bytes in a slice (one longer value stands alone).
+
+    A column of integers gives the sizes themselves."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        sizes = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_numpy(zero_copy_only=False).astype("f8")))
+        values = batch.column(batch.schema.get_field_index(column))
+        sizes = np.cumsum(np.nan_to_num((values if pa.types.is_integer(values.type) else pc.binary_length(values)).to_numpy(zero_copy_only=False).astype("f8")))
         lo = 0
         while lo < n:
             base = sizes[lo - 1] if lo else 0.0

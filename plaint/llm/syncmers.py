@@ -93,8 +93,12 @@ def fingerprint_many(texts: list[str], anchors: int = ANCHORS) -> list[tuple[np.
     return out
 
 
+def fingerprint_bytes(fp: tuple[np.ndarray, np.ndarray]) -> bytes:
+    return np.stack(fp, 1).astype("<u4").tobytes()
+
+
 def encode_fingerprint(fp: tuple[np.ndarray, np.ndarray]) -> str:
-    return base64.b64encode(np.stack(fp, 1).astype("<u4").tobytes()).decode()
+    return base64.b64encode(fingerprint_bytes(fp)).decode()
 
 
 def decode_fingerprint(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +125,26 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return len(chain) / union.size
 
 
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: The result as it is written: digest and fingerprints in bytes.
+RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+KINDS = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _schema(kind: str) -> pa.Schema:
+    return pa.schema([(name, KINDS[k]) for name, k in (x.split() for x in kind.split(", "))])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, tie, text) to (doc_id, tie, size, packed): the texts compressed one by one, for the shuffle."""
+    codec = pa.Codec("zstd")
+    for batch in slices(batches):
+        texts = batch.column(2).cast(pa.binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, texts), pa.int64()), pa.array([codec.compress(x, asbytes=True) for x in texts], pa.binary())], names=["doc_id", "tie", "size", "packed"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[str]:
+    codec = pa.Codec("zstd")
+    return [codec.decompress(x, n, asbytes=True).decode() if n else "" for n, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
 
 
 def _answer(docs: list[tuple[int | None, str, str]]) -> list[tuple]:
@@ -134,7 +157,7 @@ def _answer(docs: list[tuple[int | None, str, str]]) -> list[tuple]:
     rest = [i for i, x in enumerate(follow) if x is None]
     for i, x in zip(rest, fingerprint_many([docs[i][2] for i in rest])):
         follow[i] = x
-    return [(d[0], len(d[1]), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), encode_fingerprint(o), encode_fingerprint(w), likeness(o, w), likeness(o, f)) for d, e, o, w, f in zip(docs, edited, own, new, follow)]
+    return [(d[0], len(d[1]), hashlib.sha256(e.encode("utf-8", "surrogatepass")).digest(), fingerprint_bytes(o), fingerprint_bytes(w), likeness(o, w), likeness(o, f)) for d, e, o, w, f in zip(docs, edited, own, new, follow)]
 
 
 def fingerprint(df: DataFrame, text: str = "text") -> DataFrame:
@@ -149,20 +172,21 @@ def fingerprint(df: DataFrame, text: str = "text") -> DataFrame:
 def edited_pairs(df: DataFrame) -> DataFrame:
     """The contract's rows: each text, its edited text and the next document (descending doc_id; null ids last, ties by text hash; after the last the first).
 
-    Texts are dealt out by ranges of doc_id and sorted, so the next row follows in the same task. A task keeps its first
-    and last rows aside; those two per task are tied together afterwards. All comes from one written run, as another run
-    might draw other ranges."""
-    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    Texts are compressed one by one, dealt out by ranges of doc_id and sorted, so the next row follows in the same task.
+    A task keeps its first and last rows aside; those two per task are tied together afterwards. All comes from one
+    written run, as another run might draw other ranges; fingerprints and digests are written as compressed bytes."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    rows = rows.mapInArrow(_pack, "doc_id long, tie long, size long, packed binary")
     # texts and fingerprints are large rows: a quarter of the usual data in a task keeps its sort and its writer small
     tasks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(tasks, F.col("doc_id").desc_nulls_last()).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    rows = rows.repartitionByRange(tasks, F.col("doc_id").desc_nulls_last()).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), "tie").select("doc_id", "size", "packed")
     kind = f"{RESULT}, part long, place string, text string"
     names = [x.split()[0] for x in kind.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, first = TaskContext.get().partitionId(), None, True
-        kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
-        schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in kind.split(", ")])
+        schema = _schema(kind)
 
         def aside(row: tuple, place: str) -> tuple:
             return (row[0], *[None] * 6, part, place, row[1])
@@ -170,8 +194,8 @@ def edited_pairs(df: DataFrame) -> DataFrame:
         def batch_of(out: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-        for batch in slices(batches, limit=1 << 20):
-            got = list(zip(batch.column(0).to_pylist(), texts_of(batch)))
+        for batch in slices(batches, "size", limit=1 << 20):
+            got = list(zip(batch.column(0).to_pylist(), _unpacked(batch)))
             out = [aside(got[0], "first")] if first else []
             first = False
             line = ([last] if last else []) + got
@@ -182,7 +206,7 @@ def edited_pairs(df: DataFrame) -> DataFrame:
         if last is not None:
             yield batch_of([aside(last, "last")])
 
-    done = written(rows.mapInArrow(run, kind), "edited")
+    done = written(rows.mapInArrow(run, kind), "edited", compression="zstd")
     # two rows per task: every task's last document meets the first of the next task that has any
     ends = done.filter("place is not null").select("part", "place", "doc_id", "text")
     order = Window.orderBy("part")
@@ -195,9 +219,12 @@ def edited_pairs(df: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = _answer([tuple(c[i].as_py() for c in batch.columns)])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names[:7]).cast(pa.schema([(x.split()[0], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[x.split()[1]]) for x in RESULT.split(", ")]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _schema(RESULT).types)], schema=_schema(RESULT))
 
-    return done.filter("place is null").select(*names[:7]).union(lasts.mapInArrow(finish, RESULT))
+    got = done.filter("place is null").select(*names[:7]).union(lasts.mapInArrow(finish, RESULT))
+    # base64() breaks its lines
+    plain = {c: F.translate(F.base64(c), "\r\n", "") for c in ("fingerprint", "edited_fingerprint")}
+    return got.withColumns({"edited_sha256": F.lower(F.hex("edited_sha256")), **plain})
 
 
 def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
