@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import lift_severity, severity_band
 from ..functions.numeric import rnd
+from .dashboard import drop_undated, filter_year_month
 
 # --- fixed values: alert metrics (key, label, kind) ---------------------------
 METRICS = [
@@ -188,31 +189,50 @@ def alerts_timeline(monthly: DataFrame, anomalies: DataFrame, min_n: int = 30,
                     (F.abs("z") >= flag_z).alias("flag"))
 
 
+def alert_base(fact: DataFrame) -> DataFrame:
+    """All that the alert lists need of the fact, in one scan: counts and sums by month, by product and by issue
+    (grouping sets, combined map-side), told apart by ``kind``. One row per month or category; land it
+    (``checkpoint()``) and every list reads it instead of the fact. Undated rows are left out."""
+    sets = ["year_month", "product", "issue"]
+    g = drop_undated(fact).groupingSets([[c] for c in sets], *sets).agg(
+        *[F.grouping(c).alias(f"_g_{c}") for c in sets],
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(f"{c}_sum") for c in ("is_escalated", "churn_high_risk")],
+        *[F.avg(c).alias(f"{c}_avg") for c in ("is_escalated", "is_negative", "churn_high_risk", "sent_compound")])
+    kind = F.when(F.col("_g_year_month") == 0, "month").when(F.col("_g_product") == 0, "product").otherwise("issue")
+    name = F.when(kind == "month", F.col("year_month")).when(kind == "product", F.col("product").cast("string")) \
+            .otherwise(F.col("issue").cast("string"))
+    return g.select(kind.alias("kind"), name.alias("name"), *[c for c in g.columns if c not in sets and not c.startswith("_g_")])
+
+
+def monthly_of(base: DataFrame) -> DataFrame:
+    """The monthly trend out of ``alert_base``."""
+    m = base.filter(F.col("kind") == "month").select(
+        F.col("name").alias("year_month"), F.col("n").alias("complaints"),
+        rnd("is_escalated_avg", 4).alias("escalation_rate"), rnd("is_negative_avg", 4).alias("negative_rate"),
+        rnd("churn_high_risk_avg", 4).alias("churn_risk"), rnd("sent_compound_avg", 4).alias("avg_sentiment"))
+    return filter_year_month(m)
+
+
 def alerts_hotspots(fact: DataFrame, min_n: int = 150, min_lift: float = 1.4,
                     min_rate: float = 0.15, top: int = 8) -> DataFrame:
-    """Products / issues whose escalation or churn-risk rate is far above the
-    table-wide base rate. Two grouped aggregates; base rates are recovered
-    from the per-category sums (no extra pass, no cross join)."""
-    parts = []
-    for kind_order, kind in enumerate(("product", "issue")):
-        g = fact.groupBy(F.col(kind).alias("name")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("is_escalated").alias("_esc"),
-            F.sum("churn_high_risk").alias("_chn"))
-        w = Window.partitionBy()
-        g = g.withColumns({"_esc_base": F.sum("_esc").over(w) / F.sum("n").over(w),
-                           "_chn_base": F.sum("_chn").over(w) / F.sum("n").over(w)})
-        g = g.filter((F.col("n") >= min_n) & F.col("name").isNotNull())
-        for m_order, (metric, num, base) in enumerate((("escalation", "_esc", "_esc_base"),
-                                                       ("churn-risk", "_chn", "_chn_base"))):
-            rate = F.col(num) / F.col("n")
-            lift = F.when(F.col(base) != 0, rate / F.col(base)).otherwise(F.lit(1.0))
-            parts.append(g.select(F.lit(kind).alias("kind"), F.col("name").cast("string").alias("name"),
-                                  F.lit(metric).alias("metric"), rate.alias("rate"),
-                                  F.col(base).alias("baseline"), lift.alias("lift"), "n",
-                                  F.lit(kind_order).alias("_ko"), F.lit(m_order).alias("_mo")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    """Products / issues whose escalation or churn-risk rate is far above the table-wide base rate."""
+    return hotspots_of(alert_base(fact), min_n, min_lift, min_rate, top)
+
+
+def hotspots_of(base: DataFrame, min_n: int = 150, min_lift: float = 1.4,
+                min_rate: float = 0.15, top: int = 8) -> DataFrame:
+    """Hotspots out of ``alert_base``; base rates are recovered from the per-category sums (no extra pass, no
+    cross join), and both metrics of a category come from the same row."""
+    w = Window.partitionBy("kind")
+    g = base.filter(F.col("kind") != "month").withColumns({
+        f"_{c}": F.sum(f"{c}_sum").over(w) / F.sum("n").over(w) for c in ("is_escalated", "churn_high_risk")})
+    g = g.filter((F.col("n") >= min_n) & F.col("name").isNotNull())
+    metrics = [F.struct(F.lit(metric).alias("metric"), (F.col(f"{c}_sum") / F.col("n")).alias("rate"),
+                        F.col(f"_{c}").alias("baseline"), F.lit(order).alias("_mo"))
+               for order, (metric, c) in enumerate((("escalation", "is_escalated"), ("churn-risk", "churn_high_risk")))]
+    u = g.select("kind", "name", "n", F.when(F.col("kind") == "product", 0).otherwise(1).alias("_ko"), F.inline(F.array(*metrics)))
+    u = u.withColumn("lift", F.when(F.col("baseline") != 0, F.col("rate") / F.col("baseline")).otherwise(F.lit(1.0)))
     u = u.filter((F.col("lift") >= min_lift) & (F.col("rate") >= min_rate))
     u = u.withColumn("lift2", rnd("lift", 2))
     top_rows = u.orderBy(F.col("lift2").desc(), "_ko", "name", "_mo").limit(top)

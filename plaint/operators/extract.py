@@ -53,7 +53,7 @@ def alert_lists(fact: DataFrame, monthly_trend: DataFrame, limits: dict | None =
     limits = limits or {}
     att = A.alerts_attention(monthly_trend, **limits.get("attention", {}))
     ano = A.alerts_anomalies(monthly_trend, **limits.get("anomalies", {}))
-    hot = A.alerts_hotspots(D.drop_undated(fact), **limits.get("hotspots", {}))
+    hot = A.alerts_hotspots(fact, **limits.get("hotspots", {}))
     line = A.alerts_timeline(monthly_trend, ano, **limits.get("timeline", {}))
     return _stack([A.stack_alerts(att, ano, hot), A.alerts_counts(att, hot).select(F.lit("counts").alias("lens"), "severity", "n"),
                    line.select(F.lit("timeline").alias("lens"), "metric", F.col("ym").alias("where"), "value", "z", "flag")])

@@ -22,7 +22,7 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact Mann-Whitney AUC, ties counted one half."""
     g = _by_score(df, score, label)
-    c = global_cumsum(g, [F.col("s").asc()], "neg", "_cneg")
+    c = global_cumsum(g, [F.col("s").asc()], {"_cneg": "neg"})
     # negatives strictly below s = running count up to s minus those at s
     part = c.select((F.col("pos") * ((F.col("_cneg") - F.col("neg")) + 0.5 * F.col("neg"))).alias("_u"),
                     "pos", "neg")
@@ -33,14 +33,9 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
 def pr_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Average precision: sum over distinct thresholds of delta-recall x precision."""
     g = _by_score(df, score, label)
-    c = global_cumsum(g, [F.col("s").desc()], "pos", "_tp")
-    c = global_cumsum(c, [F.col("s").desc()], "neg", "_fp")
-    tot = c.agg(F.sum("pos").alias("_P"))
-    part = c.select((F.col("pos") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))).alias("_ap"))
-    a = part.agg(F.sum("_ap").alias("_s"))
-    u = a.select(F.col("_s"), F.lit(None).cast("long").alias("_P")).unionByName(
-        tot.select(F.lit(None).cast("double").alias("_s"), F.col("_P")))
-    r = u.agg(F.max("_s").alias("_s"), F.max("_P").alias("_P"))
+    c = global_cumsum(g, [F.col("s").desc()], {"_tp": "pos", "_fp": "neg"})
+    precision = F.col("_tp") / (F.col("_tp") + F.col("_fp"))
+    r = c.agg(F.sum(F.col("pos") * precision).alias("_s"), F.sum("pos").alias("_P"))
     return r.select(rnd(F.try_divide(F.col("_s"), F.col("_P")), 6).alias("pr_auc"))
 
 

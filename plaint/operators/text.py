@@ -114,14 +114,11 @@ def score_linear_terms(weights: DataFrame, coef: DataFrame, key: str, intercept:
 def explain_terms(weights: DataFrame, coef: DataFrame, key: str, k: int = 6) -> DataFrame:
     """Top k positive and top k negative term contributions per document."""
     j = weights.join(coef.select("term", "coef"), "term") \
-               .withColumn("contribution", F.col("coef") * F.col("weight"))
-    up = j.filter(F.col("contribution") > 0).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(key).orderBy(F.col("contribution").desc(), "term")))
-    down = j.filter(F.col("contribution") < 0).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(key).orderBy(F.col("contribution").asc(), "term")))
-    up = up.filter(F.col("rank") <= k).withColumn("direction", F.lit("up"))
-    down = down.filter(F.col("rank") <= k).withColumn("direction", F.lit("down"))
-    return up.unionByName(down).select(key, "direction", "rank", "term", "contribution")
+               .withColumn("contribution", F.col("coef") * F.col("weight")).filter(F.col("contribution") != 0)
+    j = j.withColumn("direction", F.when(F.col("contribution") > 0, "up").otherwise("down"))
+    w = Window.partitionBy(key, "direction").orderBy(F.abs("contribution").desc(), "term")
+    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
+            .select(key, "direction", "rank", "term", "contribution")
 
 
 def ordinal_levels(df: DataFrame, col: str) -> DataFrame:

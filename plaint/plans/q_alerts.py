@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import severity_band
 from ..operators import alerts as A
-from ..operators import dashboard as D
 from ..sources import fixtures as fx
 from .q_dashboard import _DATED, _MONTHLY
 from .registry import query
@@ -20,8 +19,13 @@ ATTN_Z, SPIKE_Z, SINCE = 0.5, 1.0, "1995-01"
 HOT_N, HOT_LIFT, HOT_RATE = 150, 1.01, 0.05
 
 
+def _base(spark, sf):
+    """What the alert lists read: months, products and issues from one scan of the fact, landed."""
+    return A.alert_base(fx.scored_fact(spark, sf)).checkpoint()
+
+
 def _monthly(spark, sf):
-    return D.monthly_trend(fx.scored_fact(spark, sf))
+    return A.monthly_of(_base(spark, sf))
 
 
 def _fmt(v: str, kind: str) -> str:
@@ -166,7 +170,7 @@ def q_alerts_timeline(spark, sf):
 @query("alerts_hotspots", _A + "SELECT * FROM hotspots")
 def q_alerts_hotspots(spark, sf):
     """Products / issues with risk far above the base rate, top 8 by lift."""
-    return A.alerts_hotspots(D.drop_undated(fx.scored_fact(spark, sf)), HOT_N, HOT_LIFT, HOT_RATE)
+    return A.alerts_hotspots(fx.scored_fact(spark, sf), HOT_N, HOT_LIFT, HOT_RATE)
 
 
 @query("alerts_counts", _A + """
@@ -175,9 +179,9 @@ LEFT JOIN (SELECT severity, count(*) AS n FROM (SELECT severity FROM attention U
            GROUP BY severity) c ON c.severity = l.severity""")
 def q_alerts_counts(spark, sf):
     """critical / serious / warning over attention + hotspots."""
-    m = _monthly(spark, sf)
-    att = A.alerts_attention(m, MIN_N, MIN_MONTHS, ATTN_Z)
-    hot = A.alerts_hotspots(D.drop_undated(fx.scored_fact(spark, sf)), HOT_N, HOT_LIFT, HOT_RATE)
+    base = _base(spark, sf)
+    att = A.alerts_attention(A.monthly_of(base), MIN_N, MIN_MONTHS, ATTN_Z)
+    hot = A.hotspots_of(base, HOT_N, HOT_LIFT, HOT_RATE)
     return A.alerts_counts(att, hot)
 
 
@@ -186,11 +190,11 @@ SELECT lens, count(*) AS n FROM (SELECT 'attention' AS lens FROM attention UNION
                                  UNION ALL SELECT 'hotspot' FROM hotspots) u GROUP BY lens""")
 def q_stack_alerts(spark, sf):
     """All alert lists stacked into one long table (counted per lens)."""
-    m = _monthly(spark, sf)
-    fact = D.drop_undated(fx.scored_fact(spark, sf))
+    base = _base(spark, sf)
+    m = A.monthly_of(base)
     st = A.stack_alerts(A.alerts_attention(m, MIN_N, MIN_MONTHS, ATTN_Z),
                         A.alerts_anomalies(m, MIN_N, MIN_MONTHS, SPIKE_Z, SINCE),
-                        A.alerts_hotspots(fact, HOT_N, HOT_LIFT, HOT_RATE))
+                        A.hotspots_of(base, HOT_N, HOT_LIFT, HOT_RATE))
     return st.groupBy("lens").agg(F.count(F.lit(1)).alias("n"))
 
 
