@@ -90,3 +90,18 @@ def test_unseen_and_rare_levels(spark):
     new = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")
     assert {r.c: r.c_code for r in T.ordinal_encode(new, "c", levels=levels).collect()} == {"a": 0, "b": 1, "z": -1, None: -1}
     assert sorted(r.c for r in T.rare_pool(df, "c", 2).collect()) == ["__rare__", "__rare__", "b", "b"]
+
+
+@pytest.mark.parametrize("rows,distinct,files", [(5000, 5000, 48), (40, 3, 3)])
+def test_landed_batches_are_written_by_many_tasks(spark, rows, distinct, files):
+    """Three micro-batches, whatever the number of landed files; no file holds a third of a table with many ids."""
+    import math
+
+    from plaint.plans import q_stream as Q
+    df = spark.range(rows).selectExpr(f"id % {distinct} AS complaint_id", "id AS n")
+    _, src, _, per_trigger = Q._land_batches(spark, df, 3, "complaint_id")
+    got = spark.read.parquet(src)
+    landed = len(got.inputFiles())
+    assert math.ceil(landed / per_trigger) == 3 and got.count() == rows and landed >= 0.9 * files
+    if distinct == rows:
+        assert got.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < rows / 10
