@@ -31,6 +31,8 @@ MAX_WORDS, MIN_COUNT, TOP, BREAKS = 5, 100, 2000, ".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
 #: Rounds widen by this factor in the first word's count, beginning at the least count.
 WIDEN = 16
+#: No count is larger, and no bound beyond it is a long.
+MAX_COUNT = 2**63 - 1
 #: Bounds of a Bloom bitmap in bits (16 MB at most), and bits for each entry below the greater one.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 12, 1 << 27, 16
 #: Words of a coded row, about; it ends at a break behind them.
@@ -289,9 +291,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
             break
         if least is not None:
             while reach <= least:
-                reach *= WIDEN
+                reach = min(reach * WIDEN, MAX_COUNT)
         chosen, rest = live.filter(F.col("f1") < reach), live.filter(F.col("f1") >= reach)
-        reach *= WIDEN
+        reach = min(reach * WIDEN, MAX_COUNT)
         wanted = bitmap_of(lacking) if lacking is not None else Bitmap(np.zeros(0, np.uint64))
         found = count_phrases(corpus, bitmap_of(chosen), wanted, min_count)
         found = found.join(first, ["lang", "w0"]).select(*KEY, "f", "f1", "n", "only_left", "only_right")
