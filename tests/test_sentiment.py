@@ -2,6 +2,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from plaint.operators.sentiment import lexicon_frames, score_sentiment
 
@@ -71,3 +72,29 @@ def test_each_distinct_text_is_scored_once(spark, frames):
     plan = score_sentiment(df, "id", "text", **frames)._jdf.queryExecution().optimizedPlan().toString()
     explode = plan.index("Generate explode(arrays_zip")
     assert "Aggregate [_text_id" in plan[explode:]
+
+
+def test_only_words_of_the_lexicon_are_exploded(spark, frames):
+    """The loop over a text's words is no longer part of the lookups' generated code: of 300 words two reach them."""
+    from plaint.operators import sentiment as S
+    df = spark.createDataFrame([(1, "x " * 299 + "(GOOD), very"), (2, None), (3, " \t")], "id long, text string")
+    scoring = frames["lexicon"].select(F.col("word").alias("_word"))
+    got = S._candidates(df, "text", scoring).collect()
+    assert [tuple(r) for r in got] == [(1, 299, "GOOD", "x", "x", "x", "very", None)]
+
+
+@pytest.mark.parametrize("text,n,capdiff,but", [("a BUT, b", 3, True, 1), ("ALL CAPS", 2, False, -1), ("butter b", 2, False, -1), (" -- no but!", 3, False, 2), ("", 0, False, -1), (None, 0, False, -1), ("I x 1", 3, True, -1)])
+def test_text_features(spark, text, n, capdiff, but):
+    from plaint.operators import sentiment as S
+    r = S.text_features(spark.createDataFrame([(text,)], "text string"), "text").first()
+    assert (r["_n"], r["_capdiff"], r["_but"]) == (n, capdiff, but)
+
+
+def test_narrative_is_worked_out_once(spark):
+    from plaint.operators.clean import clean
+    df = spark.createDataFrame([(1, " aXXX  XX\t b\u00a0 XXXX/XXXX ")], "complaint_id long, complaint_what_happened string")
+    df = df.selectExpr("*", "timestamp'2020-01-01' AS date_received", "timestamp'2020-01-01' AS date_sent_to_company", "'Yes' AS timely", "'Closed' AS company_response")
+    out = clean(df)
+    assert out.first().narrative == "aXXX b\u00a0 /"
+    plan = out.filter("has_narrative = 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("X(?<") == 1
