@@ -150,3 +150,29 @@ def test_early_stopping_holds_rows_back(spark, cases, monkeypatch):
     noise = df.withColumn("y", (F.pmod(F.xxhash64("a", "b"), F.lit(2)) == 0).cast("double"))
     model = B.HistBoost(inputCols=list("abcd"), outputCol="p", labelCol="y", maxIter=60, maxDepth=3).fit(noise)
     assert len(model.trees) < 60
+
+
+def test_rows_are_read_once_a_level_however_small_the_blocks(spark, cases, monkeypatch):
+    df, _, _ = cases
+    whole = B.HistBoost(inputCols=list("abcd"), outputCol="p", labelCol="y", maxIter=4).fit(df)
+    monkeypatch.setattr(B, "TASK_ROWS", 200)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(B, "KEEP_TREES", 2)
+    cut = B.HistBoost(inputCols=list("abcd"), outputCol="p", labelCol="y", maxIter=4).fit(df)
+    assert [(t.feature, t.cut, t.left) for t in cut.trees] == [(t.feature, t.cut, t.left) for t in whole.trees]
+    assert all(a.value == pytest.approx(b.value, abs=1e-9) for a, b in zip(cut.trees, whole.trees))
+
+
+def test_training_works_its_rows_out_once(spark, tmp_path):
+    """Every pass of the stages and of the regression reads written rows, not the input's plan."""
+    rows = [("card late" if i % 3 else "refund card", i % 2) for i in range(60)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "narrative string, is_escalated int").mapInArrow(count, "narrative string, is_escalated int")
+    model = ML.train_text_model(df, max_iter=20)
+    assert len(model.stages) == 2 and seen.value == 60
