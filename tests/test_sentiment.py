@@ -98,3 +98,18 @@ def test_narrative_is_worked_out_once(spark):
     assert out.first().narrative == "aXXX b\u00a0 /"
     plan = out.filter("has_narrative = 1")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("X(?<") == 1
+
+
+def test_rows_are_worked_out_once(spark, frames):
+    """Texts and result read the written rows, not the plan behind them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(1, "good"), (2, None), (3, "bad day"), (3, "bad day")]
+    df = spark.createDataFrame(rows, "id long, text string").mapInArrow(count, "id long, text string")
+    got = sorted((r.id, r.sent_compound) for r in score_sentiment(df, "id", "text", **frames).collect())
+    assert got == [(1, comp(1.9)), (2, 0.0), (3, comp(-2.5)), (3, comp(-2.5))] and seen.value == len(rows)
