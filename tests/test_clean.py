@@ -1,6 +1,7 @@
 """Edge rows for cleaning, flags, labels and de-dup."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from plaint.operators.clean import clean, dedup_by_id, dup_count
@@ -60,3 +61,20 @@ def test_dedup_keeps_newest_and_collapses_null_ids(spark):
     assert by[7].complaint_what_happened == "new"
     assert by[None].complaint_what_happened == "b"   # deterministic survivor
     assert dup_count(df).collect()[0][0] == 2
+
+
+@pytest.mark.parametrize("value", [" a b\t\x0b", "\r\n", "a  ", "a   ", " a ", "", "x\n\x85", "\x1ca\x1c"])
+def test_strip_without_patterns(spark, value):
+    """Both ends lose the six ASCII white-space characters, as the two patterns took them away."""
+    from plaint.functions import text as X
+    df = spark.createDataFrame([(value,)], "v string")
+    old = F.regexp_replace(F.regexp_replace("v", X._LEAD_WS, ""), X._TRAIL_WS, "")
+    r = df.select(X.py_strip("v").alias("new"), old.alias("old")).first()
+    assert r["new"] == r["old"]
+
+
+@pytest.mark.parametrize("value", ["a  b", "a\tb \n c", "   x", "a b", "\t", "a\x0b", "  "])
+def test_white_space_is_collapsed(spark, value):
+    from plaint.functions import text as X
+    r = spark.createDataFrame([(value,)], "v string").select(F.regexp_replace("v", X.WHITESPACE_PATTERN, " ").alias("new"), F.regexp_replace("v", r"\s{2,}|[^\S ]", " ").alias("old")).first()
+    assert r["new"] == r["old"]

@@ -113,3 +113,39 @@ def test_rows_are_worked_out_once(spark, frames):
     df = spark.createDataFrame(rows, "id long, text string").mapInArrow(count, "id long, text string")
     got = sorted((r.id, r.sent_compound) for r in score_sentiment(df, "id", "text", **frames).collect())
     assert got == [(1, comp(1.9)), (2, 0.0), (3, comp(-2.5)), (3, comp(-2.5))] and seen.value == len(rows)
+
+
+@pytest.mark.parametrize("text", ["a BUT, b GOOD", "GOOD CAPS", "good \x1cbut but (but)", " -- no BUT! but? good??", "x  GOOD ÉTÉ Go", "ǅ GOOD", ""])
+def test_the_only_pass_tells_the_text_features(spark, frames, text):
+    """Tokens, "but" and marks as the column expressions tell them; the gate where a word in capitals may score."""
+    from plaint.operators import sentiment as S
+    df = spark.createDataFrame([(1, text)], "id long, text string")
+    want = S.text_features(df, "text").first()
+    got = S._candidates(df, "text", frames["lexicon"].select(F.col("word").alias("_word")), features=True).collect()
+    assert [r["pos"] for r in got].count(S.NOWHERE) == 1
+    for r in got:
+        assert (r["_n"], r["_but"], r["_ex"], r["_qm"]) == (want["_n"], want["_but"], text.count("!"), text.count("?"))
+        assert not r["caps"] or r["_capdiff"] == want["_capdiff"]
+
+
+def test_texts_are_read_by_one_pass(spark, frames):
+    """The token counts come with the scoring words: no second aggregate of the texts is joined to them."""
+    df = spark.createDataFrame([(1, "good"), (2, "bad day")], "id long, text string")
+    plan = score_sentiment(df, "id", "text", **frames)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("first(text") == 1
+
+
+def test_words_are_found_in_any_case_and_punctuation(spark):
+    """The quick look at a text's tokens lets no scoring word go: short ones keep their marks, others lose them."""
+    from plaint.operators import sentiment as S
+    scoring = spark.createDataFrame([(w,) for w in (":)", "no", "ok!", "good", "été", "i\u0307z", "σας")], "_word string")
+    text = "x :) ( :), NO No! no. OK! ok \"Good\"... goo-d ÉTÉ, \u0130Z ΣΑΣ ΣΑΣ. --- ´good but"
+    got = S._candidates(spark.createDataFrame([(text,)], "text string"), "text", scoring).collect()
+    tokens = text.split(" ")
+
+    def core(t):
+        inner = t.strip(S.PUNCTUATION)
+        return inner if len(inner) >= 3 else t
+
+    known = {r[0] for r in scoring.collect()}
+    assert [r["pos"] for r in got] == [p for p, t in enumerate(tokens) if core(t).lower() in known]
