@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +102,24 @@ def bitmap_of(phrases: DataFrame) -> Bitmap:
     return Bitmap(words)
 
 
+def _numbered(data: bytes) -> tuple[list[bytes], np.ndarray]:
+    """(distinct words of the translated ``data``, the words' numbers in text order; -1 for a break)."""
+    a = np.frombuffer(data, np.uint8)
+    word, cut = a != 0x20, a == 0xFF
+    head = word.copy()
+    head[1:] &= ~word[:-1] | cut[:-1] | cut[1:]
+    starts = (np.cumsum(word, dtype=np.int32) - 1)[head]
+    kept = a[word]
+    ends = np.append(starts, np.int32(kept.size)).astype(np.int32)
+    made = pa.Array.from_buffers(pa.binary(), starts.size, [None, pa.py_buffer(ends), pa.py_buffer(kept)]).dictionary_encode()
+    words, ids = made.dictionary.to_pylist(), made.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if b"\xff" in words:
+        at = words.index(b"\xff")
+        ids = np.where(ids == at, -1, ids - (ids > at))
+        del words[at]
+    return words, ids
+
+
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
     """(language, distinct words, the words' numbers in text order; -1 for a break) of bounded slices of texts."""
     for batch in slices(batches, "text", 4 << 20):
@@ -110,10 +127,7 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[
         for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
             groups[lang].append(text.encode("utf-8", "surrogatepass"))
         for lang, texts in groups.items():
-            words = b"\n".join(texts).translate(_TABLE).replace(b"\xff", b" \xff ").split()
-            known: defaultdict[bytes, int] = defaultdict(count().__next__)
-            known[b"\xff"] = -1
-            yield lang, known, np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            yield lang, *_numbered(b"\n".join(texts).translate(_TABLE))
 
 
 def _hashes(words: list[bytes], seed: int) -> np.ndarray:
@@ -127,18 +141,23 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """(lang, w0, word, f, clash) of every word: w0 is its hash, clash tells that two words of the language share it."""
+    """(lang, w0, word, f) of every word: w0 is its hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, known, ids in _by_language(batches):
-            words = [w for w, i in known.items() if i >= 0]
+        for lang, words, ids in _by_language(batches):
             n = np.bincount(ids[ids >= 0], minlength=len(words)) if words else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(words), pa.string()), pa.array(_hashes(words, seed).view(np.int64)), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
                 names=["lang", "w0", "word", "n"])
 
     made = _texts(docs).mapInArrow(run, "lang string, w0 long, word string, n long")
-    got = made.groupBy("lang", "w0").agg(F.sum("n").alias("f"), F.min("word").alias("word"), F.max("word").alias("other"))
-    return got.select("lang", "w0", "word", "f", (F.col("word") != F.col("other")).alias("clash"))
+    # sums alone are kept for a word, so both steps aggregate by hash
+    got = made.groupBy("lang", "word").agg(F.sum("n").alias("f"), F.max("w0").alias("w0"))
+    return got.select("lang", "w0", "word", "f")
+
+
+def clashes(words: DataFrame) -> bool:
+    """Whether two words of a language share a hash."""
+    return not words.groupBy("lang", "w0").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
 
 def coded(docs: DataFrame, frequent: Bitmap, seed: int) -> DataFrame:
@@ -146,8 +165,8 @@ def coded(docs: DataFrame, frequent: Bitmap, seed: int) -> DataFrame:
     frequent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, known, ids in _by_language(batches):
-            hashes = _hashes([w for w, i in known.items() if i >= 0], seed)
+        for lang, words, ids in _by_language(batches):
+            hashes = _hashes(words, seed)
             hashes[~frequent.value.has(_extend(np.full(hashes.size, _start(lang)), hashes))] = 0
             w = np.append(np.append(hashes, np.uint64(0))[ids], np.uint64(0))  # -1 picks the 0 at the end
             some = w != 0
@@ -269,7 +288,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     seed = 0
     while True:
         every = written(word_counts(docs, seed), "words")
-        if every.filter("clash").isEmpty():
+        if not clashes(every):
             break
         seed += 1  # two words of a language share a hash: count with another one
     totals = written(every.groupBy("lang").agg(F.sum("f").alias("n")), "totals")

@@ -109,3 +109,20 @@ def test_query_equals_sql(spark):
     cursor = con.execute(C.OP13_SQL)
     names = [c[0] for c in cursor.description]
     assert {tuple(r) for r in C.op13_collocations(spark, SF).select(*names).collect()} == set(cursor.fetchall())
+
+
+@pytest.mark.parametrize("text", ["", " ", "a b  a\tb.c..d", ".a", "a.", "é ß!é\n\n ß", "..", "x" * 300 + " y"])
+def test_words_are_numbered_as_split(text):
+    """Each word once, breaks as -1, all in text order."""
+    data = text.encode().translate(C._TABLE)
+    words, ids = C._numbered(data)
+    assert len(set(words)) == len(words)
+    assert [words[i] if i >= 0 else b"\xff" for i in ids.tolist()] == data.replace(b"\xff", b" \xff ").split()
+
+
+def test_words_are_counted_by_hash_aggregates(spark):
+    """No sort of all words: what is kept for a word is a sum."""
+    df = spark.createDataFrame([("en", "a b a."), ("en", "b"), (None, "a")], "lang string, text string")
+    got = C.word_counts(df, 0)
+    assert sorted((r["lang"], r["word"], r["f"]) for r in got.collect()) == [("en", "a", 2), ("en", "b", 2), ("und", "a", 1)]
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
