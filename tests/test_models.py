@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plaint.operators import boosting as B
 from plaint.operators import models as ML
+from plaint.operators import stages as S
 from plaint.operators import text as T
 from plaint.operators.stages import LevelIndex, TfidfTerms
 
@@ -70,6 +71,34 @@ def test_rare_levels_pool_and_unseen_are_zeros(spark, tmp_path):
     assert {r.level: r.i for r in codes.collect()} == {None: 0, "a": 1, "b": 2, "r1": 3, "r2": 4, "new": -1}
 
 
+def test_few_levels_are_joined_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Whatever the size of the fitted table; beyond MAX_LEVELS the codes are the same."""
+    rows = [(x,) for x in ["é", "z", "Z", "日本", None, "", "a b", "a"] for _ in range(3)] + [("rare",), ("😀",)]
+    train = spark.createDataFrame(rows, "level string")
+    stage = LevelIndex(inputCol="level", outputCol="i", minFrequency=2)
+
+    def codes(model):
+        return {r.level: r.i for r in model.transform(train).collect()}
+
+    monkeypatch.setattr(S, "MAX_LEVELS", 3)
+    shuffled = stage.fit(train)
+    want = codes(shuffled)
+    monkeypatch.undo()
+    model = stage.fit(train)
+    model.save(str(tmp_path / "m"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for m in (model, S.LevelIndexModel.load(str(tmp_path / "m"))):
+            coded = m.transform(train)
+            assert "SortMergeJoin" not in coded._jdf.queryExecution().executedPlan().toString()
+            assert codes(m) == want and m.names() == shuffled.names()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    none = stage.fit(train.limit(0))
+    assert {r.i for r in none.transform(train).collect()} == {1.0}
+
+
 def plain_tree(bins, g, h, depth, leaves, l2, least):
     """Leaf-wise growth by trying every split of every leaf: {row: value} as an array."""
     parts = [(np.arange(len(g)), 0)]
@@ -163,6 +192,25 @@ def test_rows_are_read_once_a_level_however_small_the_blocks(spark, cases, monke
     assert all(a.value == pytest.approx(b.value, abs=1e-9) for a, b in zip(cut.trees, whole.trees))
 
 
+def test_small_sums_need_no_shuffle(spark, monkeypatch):
+    """A level is one stage while its sums are small; by a shuffle they are the same."""
+    data, sizes = spark.sparkContext.parallelize(range(4), 4).map(lambda i: (np.full((1, 5), i % 3, np.uint8), np.ones(5), np.zeros(5, bool), np.zeros(5))), [3]
+    direct, _ = B._histograms(data, sizes, B.Tree(), [0], True)
+    calls = []
+    monkeypatch.setattr(type(data), "reduceByKey", lambda self, *a, **k: calls.append(1) or self)
+    B._histograms(data, sizes, B.Tree(), [0], True)
+    assert not calls
+    monkeypatch.undo()
+    monkeypatch.setattr(B, "DIRECT_BYTES", 0)
+    shuffled, _ = B._histograms(data, sizes, B.Tree(), [0], True)
+    assert (direct[0] == shuffled[0]).all() and direct[0][2, 0, :3].tolist() == [10, 5, 5]
+
+
+@pytest.mark.parametrize("rows, cores, tasks", [(0, 12, 1), (720_000, 12, 12), (7_200_000, 12, 24), (100_000, 12, 2), (43_200_000, 12, 96)])
+def test_a_level_keeps_all_cores_busy(rows, cores, tasks):
+    assert B.task_count(rows, cores) == tasks
+
+
 def test_training_works_its_rows_out_once(spark, tmp_path):
     """Every pass of the stages and of the regression reads written rows, not the input's plan."""
     rows = [("card late" if i % 3 else "refund card", i % 2) for i in range(60)]
@@ -176,3 +224,18 @@ def test_training_works_its_rows_out_once(spark, tmp_path):
     df = spark.createDataFrame(rows, "narrative string, is_escalated int").mapInArrow(count, "narrative string, is_escalated int")
     model = ML.train_text_model(df, max_iter=20)
     assert len(model.stages) == 2 and seen.value == 60
+
+
+def test_a_split_is_worked_out_once(spark, monkeypatch):
+    """Training and test rows of a model are read from one written split."""
+    from plaint.plans import q_ml as Q
+
+    fact = spark.createDataFrame([(i if i % 7 else None, i % 2, f"t{i}") for i in range(40)], "complaint_id long, is_escalated int, narrative string")
+    calls, inner = [], Q.M.stratified_split
+    monkeypatch.setattr(Q, "_fact", lambda spark, sf: fact)
+    monkeypatch.setattr(Q.M, "stratified_split", lambda *a: calls.append(1) or inner(*a))
+    monkeypatch.setattr(Q, "_SPLITS", {})
+    for _ in range(2):
+        train, test = Q._split(spark, "made", "is_escalated", ["narrative"])
+    assert len(calls) == 1 and train.columns == test.columns == ["complaint_id", "is_escalated", "narrative"]
+    assert (train.count(), test.count()) == (32, 8) and train.unionByName(test).exceptAll(fact.select(*train.columns)).isEmpty()
