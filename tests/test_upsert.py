@@ -97,3 +97,19 @@ def test_empty_batch_and_null_id(table):
     step(table, [], 1)
     step(table, [(None, "zz")], 2)
     assert state(table) == {None: ("zz", 1.0, 2.0), 1: ("y", 1.0, 2.0)}
+
+
+def test_query_works_its_cases_out_once(spark, monkeypatch):
+    """The union of all cases and those that come again, whose ranges are sampled besides, reads written cases."""
+    from plaint.plans import q_stream as Q
+
+    class Seen(Exception):
+        pass
+
+    def land(spark, df, *_):
+        raise Seen(df.inputFiles())
+
+    monkeypatch.setattr(Q, "_land_batches", land)
+    with pytest.raises(Seen) as got:
+        Q.q_stream_upsert(spark, "/root/testdata/sf0.001")
+    assert got.value.args[0] and all("/cases_" in f for f in got.value.args[0])
