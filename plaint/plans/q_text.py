@@ -6,13 +6,11 @@ stand-in for a fitted model's weights, derived from each term's characters
 (the fitted path is ``train_text_model``)."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
+from ..operators import terms as G
 from ..operators import text as T
-from ..session import scratch_path
 from ..sources import fixtures as fx
 from .registry import query
 from .sql_views import R, with_
@@ -42,35 +40,32 @@ def _docs(spark, sf):
     return fx.table(spark, sf, "documents").select(KEY, "text")
 
 
-def _counts(spark, sf):
-    """(doc, term, tf), written once: vocabulary, weights and scores all read it."""
-    path = scratch_path(spark, f"terms_{uuid.uuid4().hex}")
-    T.term_counts(T.tokenize_terms(_docs(spark, sf), KEY, "text"), KEY).write.parquet(path)
-    return spark.read.parquet(path)
+def _one_row_a_key(docs):
+    return docs.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).isEmpty()
 
 
-def _vocab(spark, sf, counts=None):
-    counts = counts if counts is not None else _counts(spark, sf)
-    n_docs = _docs(spark, sf).agg(F.count(F.lit(1)).alias("n"))
-    v = T.vocabulary(counts, KEY)
-    # n_docs is one row; attached through a window-free union + max, no cross join
-    vn = v.select("term", "df", "total", F.lit(None).cast("long").alias("n")).unionByName(
-        n_docs.select(F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("df"),
-                      F.lit(None).cast("long").alias("total"), "n"))
-    from pyspark.sql import Window
-    vn = vn.withColumn("n", F.max("n").over(Window.partitionBy())).filter(F.col("term").isNotNull())
-    return T.with_idf(vn, F.col("n")).drop("n")
+def _vocab(docs):
+    """(term, df, total, idf) of the vocabulary; all rows of a key are one document."""
+    words = docs.select(KEY, G.words("text", T.ASCII_TERMS).alias("words"))
+    top = G.top_terms(words, "words", 5, 5000, None if _one_row_a_key(docs) else KEY)
+    vocab = docs.sparkSession.createDataFrame([tuple(r) for r in top], "term string, df long, total long")
+    return T.with_idf(vocab, F.lit(docs.count()))
 
 
 def _coef(vocab):
     c = ((F.length("term") % 5) - 2) * 0.25 + F.when(F.col("term").contains(" "), 0.1).otherwise(0.0)
-    return vocab.select("term", c.alias("coef"))
+    return F.broadcast(vocab.select("term", c.alias("coef")))  # a row a term of the vocabulary
 
 
 def _weights(spark, sf):
-    counts = _counts(spark, sf)
-    vocab = _vocab(spark, sf, counts)
-    return T.tfidf(counts, vocab, KEY), vocab
+    """(doc, term, weight) and the vocabulary. Weights are worked out within a row; the counts of a key's rows are added up first."""
+    docs = _docs(spark, sf)
+    vocab = _vocab(docs)
+    if _one_row_a_key(docs):
+        words = docs.select(KEY, G.words("text", T.ASCII_TERMS).alias("words"))
+        return G.text_weights(words, KEY, "words", vocab.select("term", "idf").collect()), vocab
+    known = T.tokenize_terms(docs, KEY, "text").join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    return T.tfidf(T.term_counts(known, KEY), vocab, KEY), vocab
 
 
 @query("tokenize_terms", _W + "SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct FROM terms GROUP BY 1")
@@ -91,7 +86,7 @@ def q_ngram_union(spark, sf):
 @query("vocabulary", _W + f"SELECT term, df, total, {R('idf', 6)} AS idf FROM vocab")
 def q_vocabulary(spark, sf):
     """Terms with df >= 5, top 5000 by corpus count, with smooth idf."""
-    v = _vocab(spark, sf)
+    v = _vocab(_docs(spark, sf))
     return v.select("term", "df", "total", rnd("idf", 6).alias("idf"))
 
 
@@ -120,7 +115,7 @@ FROM weights w JOIN coef c ON c.term = w.term GROUP BY 1""")
 def q_join_coefficients(spark, sf):
     """term -> coefficient lookup joined to the weights."""
     w, vocab = _weights(spark, sf)
-    j = w.join(F.broadcast(_coef(vocab)), "term")
+    j = w.join(_coef(vocab), "term")
     return j.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), rnd(F.max("coef"), 6).alias("coef"))
 
 
@@ -141,6 +136,6 @@ def q_explain_terms(spark, sf):
 @query("model_export_table", _W + f"SELECT term, {R('idf', 5)} AS idf, {R('coef', 5)} AS coef FROM vocab JOIN coef USING (term)")
 def q_model_export_table(spark, sf):
     """(term, idf, coef) table at 5 dp."""
-    _, vocab = _weights(spark, sf)
+    vocab = _vocab(_docs(spark, sf))
     j = vocab.join(_coef(vocab), "term")
     return j.select("term", rnd("idf", 5).alias("idf"), rnd("coef", 5).alias("coef"))

@@ -84,3 +84,31 @@ def test_training_leaves_no_tables(spark):
     before = tables()
     ML.train_text_model(df, max_iter=5)
     assert tables() == before
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_weights_of_documents_need_no_count_of_all_terms(spark, tmp_path, monkeypatch, repeated):
+    """Equal to plain weights, whether keys have one row or more (their rows are one document); one row a key is weighed in place."""
+    import math
+
+    from plaint.plans import q_text as Q
+    monkeypatch.setattr(G, "MORE", 0)
+    rnd = random.Random(2)
+    rows = [(i // 2 if repeated and i < 30 else None if i == 59 or repeated and i > 56 else i, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(0, 9)))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    weights, vocab = Q._weights(spark, str(tmp_path))
+    idf = {r.term: r.idf for r in vocab.collect()}
+    tf = {}
+    for key, text in rows:
+        w = [x for x in text.split() if len(x) > 1 and x not in T.STOP_WORDS and x.isascii()]  # the pattern cuts words at other letters
+        if "fée" in text or "日本語" in text:
+            w = spark.createDataFrame([(0, text)], "k long, t string").select(F.filter(G.words("t", T.ASCII_TERMS), lambda x: ~x.isin(*T.STOP_WORDS))).first()[0]
+        tf.setdefault(key, Counter()).update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df = Counter(t for c in tf.values() for t in c)
+    assert idf == {t: pytest.approx(math.log(61 / (1 + n)) + 1) for t, n in df.items() if n >= 5}
+    want = {}
+    for key, c in tf.items():
+        made = {t: (1 + math.log(n)) * idf[t] for t, n in c.items() if t in idf}
+        want |= {(key, t): v / math.sqrt(sum(x * x for x in made.values())) for t, v in made.items()}
+    assert {(r.doc_id, r.term): r.weight for r in weights.collect()} == {k: pytest.approx(v, abs=1e-12) for k, v in want.items()}
+    assert repeated or "Exchange" not in weights._jdf.queryExecution().executedPlan().toString()
