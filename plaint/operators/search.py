@@ -6,9 +6,16 @@ folders of its rarest grams, intersects their postings, and reads only the text
 verify each with ``contains``; terms of fewer than three letters are looked up by a scan of the texts."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .terms import word_slices
+
 BUCKETS = 64
 RAREST = 4  # grams of a term whose postings are read; what they let through by chance is verified
 # every three letters in a row: matches are empty, so the next begins one letter on
@@ -29,6 +36,18 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(f"key {key}, {other} string, bucket int").parquet(f"{path}/{name}")
 
 
+def _keys_by_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, keys of the batch's texts that hold it): a gram is sent once for many texts."""
+    for batch in word_slices(batches, "grams"):
+        lists = batch.column(1)
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        ends = np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))
+        keys = batch.column(0).take(pa.array(rows[np.argsort(codes, kind="stable")]))
+        yield pa.RecordBatch.from_arrays([coded.dictionary, pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), keys)], names=["gram", "keys"])
+
+
 def write_index(df: DataFrame, key: str, text_col: str, path: str, buckets: int = BUCKETS) -> None:
     """Index the texts of ``df`` (null counts as empty), letters folded to lower case. Keys may repeat or be null.
 
@@ -37,10 +56,11 @@ def write_index(df: DataFrame, key: str, text_col: str, path: str, buckets: int
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = df.select(F.col(key).alias("key"), text.alias("text"))
     (df.withColumn("bucket", _bucket(F.col("key"), buckets)).hint("rebalance", "bucket")
-     .sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(f"{path}/texts"))
-    posts = df.select("key", F.explode(_grams(F.lower("text"))).alias("gram")).withColumn("bucket", _bucket(F.col("gram"), buckets))
-    (posts.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram", "key")
-     .write.partitionBy("bucket").parquet(f"{path}/postings"))
+     .sortWithinPartitions("bucket", "key").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/texts"))
+    kind = df.schema["key"].dataType.simpleString()
+    posts = df.select("key", _grams(F.lower("text")).alias("grams")).mapInArrow(_keys_by_gram, f"gram string, keys array<{kind}>")
+    (posts.withColumn("bucket", _bucket(F.col("gram"), buckets)).hint("rebalance", "bucket").select("gram", F.explode("keys").alias("key"), "bucket")
+     .sortWithinPartitions("bucket", "gram", "key").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/postings"))
     df.select("key").limit(0).write.parquet(f"{path}/keys")  # an empty partitioned table has no file to tell the key's type
     counts = _table(df.sparkSession, path, "postings").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     counts.sort("gram").write.parquet(f"{path}/grams")

@@ -1,6 +1,7 @@
 """The trigram index against a plain scan of the same texts."""
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plaint.operators import search as S
@@ -32,6 +33,14 @@ def test_search_equals_scan(spark, tmp_path):
     assert S.search(spark, path, [], buckets=8).count() == 0
 
 
+def test_a_gram_is_sent_once_for_many_texts():
+    """Postings go to their bucket as a gram and its keys, repeated and null keys among them."""
+    grams = [["abc", "bcd"], None, ["bcd"], [], ["abc", "xyz", "bcd"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, None, 7, 5], pa.int64()), pa.array(grams, pa.list_(pa.string()))], names=["key", "grams"])
+    sent = [r for part in S._keys_by_gram(iter([batch.slice(0, 0), batch])) for r in part.to_pylist()]
+    assert sorted((r["gram"], r["keys"]) for r in sent) == [("abc", [5, 5]), ("bcd", [5, None, 5]), ("xyz", [5])]
+
+
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "index")
     S.write_index(spark.createDataFrame([], "id long, body string"), "id", "body", path, buckets=4)
